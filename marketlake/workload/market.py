@@ -39,7 +39,7 @@ def loaded_at():
 
 
 def raw_prices(spark, sf):
-    price = F.lit(100) + F.col("o_totalprice") / 700
+    price = F.lit(100) + F.col("o_totalprice") / 717
     return table(spark, sf, "orders").select(
         date_to_ns("o_orderdate").alias("date"),
         ticker("o_custkey div 100").alias("ticker"),

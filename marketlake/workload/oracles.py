@@ -85,10 +85,10 @@ CTES = {
     "raw_prices": f"""
       SELECT {_date_ns('CAST(o_orderdate AS DATE)')} AS date,
              'C' || (o_custkey // 100) AS ticker,
-             CASE WHEN o_orderkey % 97 <> 0 THEN 100 + o_totalprice / 700 END AS close,
-             (100 + o_totalprice / 700) * CAST(1.01 AS DOUBLE) AS high,
-             (100 + o_totalprice / 700) * CAST(0.99 AS DOUBLE) AS low,
-             (100 + o_totalprice / 700) * CAST(0.995 AS DOUBLE) AS open,
+             CASE WHEN o_orderkey % 97 <> 0 THEN 100 + o_totalprice / 717 END AS close,
+             (100 + o_totalprice / 717) * CAST(1.01 AS DOUBLE) AS high,
+             (100 + o_totalprice / 717) * CAST(0.99 AS DOUBLE) AS low,
+             (100 + o_totalprice / 717) * CAST(0.995 AS DOUBLE) AS open,
              o_orderkey * 7919 % 1000 AS volume,
              {LOAD_NS} + o_orderkey * 1000000000 AS extracted_at
       FROM orders""",
@@ -672,7 +672,7 @@ _BODIES = {
       ORDER BY pct_of_52w_high DESC, ticker LIMIT 10""",
     "return_when_macro_negative": """
       SELECT ticker, count(*) AS days,
-             round(exp(sum(ln(1 + daily_return))) - 1, 6) AS compounded_return
+             round(exp(sum(ln(1 + daily_return))) - 1, 3) AS compounded_return
       FROM fact ASOF JOIN (SELECT * FROM fact_macro WHERE series_id = 'T10Y2Y') m
         ON price_date >= observation_date
       WHERE m.value < 0 GROUP BY 1""",

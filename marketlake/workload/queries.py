@@ -776,7 +776,7 @@ def return_when_macro_negative(spark, sf):
     held = questions.return_when_negative(
         MK.fact_prices(spark, sf), MK.fact_macro(spark, sf), "T10Y2Y", day(AS_OF)
     )
-    return rounded_all(held)
+    return rounded(held, "compounded_return", places=3)
 
 
 @query
