@@ -39,7 +39,7 @@ def loaded_at():
 
 
 def raw_prices(spark, sf):
-    price = F.lit(100) + F.col("o_totalprice") / 717
+    price = F.lit(1000) + F.col("o_totalprice") / 717
     return table(spark, sf, "orders").select(
         date_to_ns("o_orderdate").alias("date"),
         ticker("o_custkey div 100").alias("ticker"),
@@ -145,8 +145,8 @@ def raw_valuations(spark, sf):
     fields |= {
         "beta": lo / 1000,
         "trailingPE": F.when(n % 4 == 0, F.lit(1e19)).otherwise(hi / 50),
-        "revenueGrowth": (hi - lo) / hi,
-        "debtToEquity": F.when(n % 3 != 0, hi / lo),
+        "revenueGrowth": F.sqrt((hi - lo) / hi),
+        "debtToEquity": F.when(n % 3 != 0, F.sqrt(hi / lo)),
         "freeCashflow": (hi - 1000) * 1e6,
     }
     return cells.select(

@@ -53,8 +53,8 @@ def _valuation_fields() -> str:
     fields |= {name: f"total * {1000 * (k + 1)} + 0.5" for k, name in enumerate(_AMOUNTS)}
     fields["beta"] = "lo / 1000"
     fields["trailingPE"] = "CASE WHEN n % 4 = 0 THEN 1e19 ELSE hi / 50 END"
-    fields["revenueGrowth"] = "(hi - lo) / hi"
-    fields["debtToEquity"] = "CASE WHEN n % 3 <> 0 THEN hi / lo END"
+    fields["revenueGrowth"] = "sqrt((hi - lo) / hi)"
+    fields["debtToEquity"] = "CASE WHEN n % 3 <> 0 THEN sqrt(hi / lo) END"
     fields["freeCashflow"] = "(hi - 1000) * 1e6"
     return ", ".join(f'{fields[name]} AS "{name}"' for name in C.VALUATION_FIELDS)
 
@@ -85,10 +85,10 @@ CTES = {
     "raw_prices": f"""
       SELECT {_date_ns('CAST(o_orderdate AS DATE)')} AS date,
              'C' || (o_custkey // 100) AS ticker,
-             CASE WHEN o_orderkey % 97 <> 0 THEN 100 + o_totalprice / 717 END AS close,
-             (100 + o_totalprice / 717) * CAST(1.01 AS DOUBLE) AS high,
-             (100 + o_totalprice / 717) * CAST(0.99 AS DOUBLE) AS low,
-             (100 + o_totalprice / 717) * CAST(0.995 AS DOUBLE) AS open,
+             CASE WHEN o_orderkey % 97 <> 0 THEN 1000 + o_totalprice / 717 END AS close,
+             (1000 + o_totalprice / 717) * CAST(1.01 AS DOUBLE) AS high,
+             (1000 + o_totalprice / 717) * CAST(0.99 AS DOUBLE) AS low,
+             (1000 + o_totalprice / 717) * CAST(0.995 AS DOUBLE) AS open,
              o_orderkey * 7919 % 1000 AS volume,
              {LOAD_NS} + o_orderkey * 1000000000 AS extracted_at
       FROM orders""",
@@ -243,7 +243,7 @@ CTES = {
              (f.close_price - e.close_price) / e.close_price AS cum_return
       FROM fact e JOIN fact f ON f.ticker = e.ticker AND f.price_date > e.price_date
        AND f.price_date <= e.price_date + 730
-      WHERE e.daily_return >= 0.5""",
+      WHERE e.daily_return >= 0.2::DOUBLE""",
     "study": "SELECT ticker, event_date, round(event_return * 100, 2) AS event_return_pct, "
     + ", ".join(
         f"max(CASE WHEN days_forward = {d} THEN cum_return END) AS d{d}" for d in C.HORIZON_DAYS
@@ -401,7 +401,7 @@ _BODIES = {
     "merge_upsert": f"""
       SELECT ticker, price_date, close_price FROM quotes WHERE price_date < DATE '1999-01-01'
       UNION ALL
-      SELECT ticker, price_date, round(close_price * 2, 4) FROM quotes
+      SELECT ticker, price_date, close_price * 2 FROM quotes
       WHERE price_date >= DATE '1999-01-01'""",
     "schema_sync_union": f"""
       SELECT ticker, price_date, round(close_price, 6) AS close_price,
@@ -477,8 +477,9 @@ _BODIES = {
       SELECT ticker, price_date,
              round(rolling_30d_vol_annualized, 6) AS rolling_30d_vol_annualized FROM fact""",
     "moving_average": """
-      SELECT *, round(avg(close_price) OVER (PARTITION BY ticker ORDER BY price_date
-        ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 5) AS moving_avg_30d FROM quotes""",
+      SELECT ticker, price_date, round(close_price, 6) AS close_price,
+             round(avg(close_price) OVER (PARTITION BY ticker ORDER BY price_date
+               ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 6) AS moving_avg_30d FROM prices""",
     "cumulative_return": """
       SELECT ticker, price_date, round(exp(sum(ln(1 + daily_return)) OVER (
         PARTITION BY ticker ORDER BY price_date)) - 1, 6) AS cumulative_return
@@ -493,8 +494,8 @@ _BODIES = {
       FROM prices p JOIN (SELECT ticker, price_date, arg_min(close_price, extracted_at)
         AS close_price FROM typed_prices GROUP BY ALL) f USING (ticker, price_date)
       WHERE abs(p.close_price - f.close_price) > 0.01""",
-    "event_up": _event("daily_return >= 0.5"),
-    "event_down": _event("daily_return <= -0.4"),
+    "event_up": _event("daily_return >= 0.2::DOUBLE"),
+    "event_down": _event("daily_return <= -0.2::DOUBLE"),
     "event_near_high": _event("pct_of_52w_high >= 0.95::DOUBLE"),
     "event_near_low": _event("close_price <= week_52_low * 1.05::DOUBLE"),
     "event_volume_spike": _event(

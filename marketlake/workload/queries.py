@@ -219,7 +219,7 @@ def merge_upsert(spark, sf):
     rows = _quotes(spark, sf)
     tgt = rows.where(F.col("price_date") <= day(SPLIT))
     src = rows.where(F.col("price_date") >= day("1999-01-01")).withColumn(
-        "close_price", F.round(F.col("close_price") * 2, 4)
+        "close_price", F.col("close_price") * 2
     )
     return M.merge_by_key(tgt, src, ["ticker", "price_date"])
 
@@ -402,10 +402,11 @@ def rolling_vol_annualized(spark, sf):
 def moving_average(spark, sf):
     """Computed over segments of each series rather than whole series."""
     frames = {"moving_avg_30d": ("avg", 30)}
+    closes = MK.prices(spark, sf).select("ticker", "price_date", "close_price")
     averaged = W.with_rolling(
-        _quotes(spark, sf), ["ticker"], "price_date", "close_price", frames, segment_rows=512
+        closes, ["ticker"], "price_date", "close_price", frames, segment_rows=512
     )
-    return rounded(averaged, "moving_avg_30d", places=5)
+    return rounded_all(averaged)
 
 
 @query
@@ -451,8 +452,8 @@ def _events(kind, x):
 
 
 EVENT_KINDS = {
-    "event_up": ("return_up", 50.0),
-    "event_down": ("return_down", 40.0),
+    "event_up": ("return_up", 20.0),
+    "event_down": ("return_down", 20.0),
     "event_near_high": ("near_high", 5.0),
     "event_near_low": ("near_low", 5.0),
     "event_volume_spike": ("volume_spike", 1.8),
@@ -464,16 +465,16 @@ for _name, _args in EVENT_KINDS.items():
 
 @query
 def event_forward_range_join(spark, sf):
-    return rounded_all(events.forward_range(MK.fact_prices(spark, sf), "return_up", 50.0))
+    return rounded_all(events.forward_range(MK.fact_prices(spark, sf), "return_up", 20.0))
 
 
 @query
 def event_forward_equi(spark, sf):
-    return rounded_all(events.event_study_by_join(MK.fact_prices(spark, sf), "return_up", 50.0))
+    return rounded_all(events.event_study_by_join(MK.fact_prices(spark, sf), "return_up", 20.0))
 
 
 def _study(spark, sf):
-    return events.event_study(MK.fact_prices(spark, sf), "return_up", 50.0)
+    return events.event_study(MK.fact_prices(spark, sf), "return_up", 20.0)
 
 
 @query
