@@ -24,6 +24,11 @@ def _cut_points(probs: list[float], accuracy: int) -> list[float]:
     return sorted(points)
 
 
+def spread_rows(df: DataFrame, group: list[str], value: str) -> DataFrame:
+    """Hash rows over all tasks by group and value: no hot group stays together."""
+    return df.repartition(*group, value)
+
+
 def exact_quantiles(
     df: DataFrame,
     group: list[str],
@@ -31,22 +36,27 @@ def exact_quantiles(
     probs: dict[str, float],
     accuracy: int = 10_000,
     few_groups: bool = False,
+    spread: bool = True,
 ) -> DataFrame:
     """One row per group with a linearly interpolated quantile per entry of
     `probs` (output name -> probability). Null values are ignored.
 
     `few_groups` states that a constant bounds the number of groups (horizons,
     say), so the per-group edges and targets may be broadcast; otherwise Spark
-    decides from their measured size.
+    decides from their measured size. The rows are spread by hash once (`spread`;
+    pass False if the caller has done it) so that the three passes over them read
+    one reused shuffle instead of computing the input three times.
     """
     small = F.broadcast if few_groups else (lambda side: side)
-    rows = df.where(F.col(value).isNotNull()).select(*group, F.col(value).alias("_v"))
+    rows = df.where(F.col(value).isNotNull()).select(*group, value)
+    if spread:
+        rows = spread_rows(rows, group, value)
     points = _cut_points(list(probs.values()), accuracy)
     edges = rows.groupBy(*group).agg(
-        F.percentile_approx("_v", points, accuracy).alias("_edges")
+        F.percentile_approx(value, points, accuracy).alias("_edges")
     )
-    above = [(F.col("_v") > F.col("_edges")[i]).cast("int") for i in range(len(points))]
-    binned = rows.join(small(edges), group).select(*group, "_v", reduce(add, above).alias("_bin"))
+    above = [(F.col(value) > F.col("_edges")[i]).cast("int") for i in range(len(points))]
+    binned = rows.join(small(edges), group).select(*group, value, reduce(add, above).alias("_bin"))
 
     # exact size of every bin, and how many values lie before it
     before = Window.partitionBy(*group).orderBy("_bin")
@@ -94,10 +104,10 @@ def exact_quantiles(
     )
 
     # only the bins that hold a target are sorted, by distinct value
-    in_bin = Window.partitionBy(*group, "_bin").orderBy("_v")
+    in_bin = Window.partitionBy(*group, "_bin").orderBy(value)
     ranked = (
         binned.join(small(targets.select(*group, "_bin")), [*group, "_bin"], "left_semi")
-        .groupBy(*group, "_bin", "_v")
+        .groupBy(*group, "_bin", value)
         .agg(F.count("*").alias("_c"))
         .withColumn("_hi", F.sum("_c").over(in_bin))
         .withColumn("_lo", F.col("_hi") - F.col("_c"))
@@ -108,7 +118,7 @@ def exact_quantiles(
 
     def at(name: str, side: int):
         hit = (F.col("_name") == name) & (F.col("_side") == side)
-        return F.max(F.when(hit, F.col("_v")))
+        return F.max(F.when(hit, F.col(value)))
 
     def interpolate(name: str):
         frac = F.max(F.when(F.col("_name") == name, F.col("_frac")))

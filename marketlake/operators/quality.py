@@ -76,6 +76,26 @@ def expect_between(
     return df.where(broken)
 
 
+def range_violations(
+    df: DataFrame, keys: list[str], rules: dict[str, tuple[str, float | None, float | None, bool]]
+) -> DataFrame:
+    """Many range rules in one pass: (rule, keys, value) per broken rule. `rules`:
+    name -> (column, low, high, low itself is out)."""
+    checked = []
+    for name, (col, low, high, strict) in rules.items():
+        c = F.col(col).cast("double")
+        broken = F.lit(False)
+        if low is not None:
+            broken = broken | ((c <= low) if strict else (c < low))
+        if high is not None:
+            broken = broken | (c > high)
+        checked.append(
+            F.struct(F.lit(name).alias("rule"), c.alias("value"), broken.alias("broken"))
+        )
+    rows = df.select(*keys, F.inline(F.array(*checked)))
+    return rows.where("broken").select("rule", *keys, "value")
+
+
 def coverage_lag(
     df: DataFrame, key: str, date: str, max_days: int = 5, exclusions: DataFrame | None = None
 ) -> DataFrame:

@@ -40,6 +40,42 @@ def rolling(keys: list[str], order: str, value: str, fn: str, rows: int) -> Colu
     return ROLLING[fn](value).over(trailing(keys, order, rows))
 
 
+# frames at least this long get their maximum and minimum from blocks
+BLOCK_FRAME_ROWS = 64
+
+
+def with_extremes(
+    df: DataFrame, keys: list[str], order: str, value: str, rows: int, frames: dict[str, str]
+) -> DataFrame:
+    """Rolling maximum or minimum (`frames`: name -> "max" | "min") over long frames.
+
+    A moving ROWS frame re-reads all its rows for every row. Here the series is cut
+    into blocks as long as the frame; a frame then is the tail of one block and the
+    head of the next, and both are running extremes. Cost per row is constant, and
+    all the windows live in the same hash partitioning: still one shuffle.
+    """
+    block = (F.row_number().over(series(keys, order)) - 1) / rows
+    in_block = Window.partitionBy(*keys, "_block")
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    heads = in_block.orderBy(order).rowsBetween(*so_far)
+    tails = in_block.orderBy(F.desc(order)).rowsBetween(*so_far)
+    pick = {"max": F.greatest, "min": F.least}
+    parts = df.withColumn("_block", F.floor(block))
+    parts = parts.withColumns(
+        {f"_tail_{name}": ROLLING[fn](value).over(tails) for name, fn in frames.items()}
+    )
+    parts = parts.withColumns(
+        {f"_head_{name}": ROLLING[fn](value).over(heads) for name, fn in frames.items()}
+    )
+    first = series(keys, order)
+    joined = {
+        name: pick[fn](f"_head_{name}", F.lag(f"_tail_{name}", rows - 1).over(first))
+        for name, fn in frames.items()
+    }
+    helpers = [f"_{part}_{name}" for name in frames for part in ("head", "tail")]
+    return parts.withColumns(joined).drop("_block", *helpers)
+
+
 # ---- splitting long series -------------------------------------------------
 
 
@@ -135,9 +171,16 @@ def with_rolling(
 ) -> DataFrame:
     """Add one column per entry of `frames`: name -> (function, rows)."""
     def compute(part: DataFrame, by: list[str]) -> DataFrame:
-        return part.withColumns(
-            {name: rolling(by, order, value, fn, rows) for name, (fn, rows) in frames.items()}
-        )
+        blocks: dict[int, dict[str, str]] = {}
+        plain = {}
+        for name, (fn, rows) in frames.items():
+            if fn in ("max", "min") and rows >= BLOCK_FRAME_ROWS:
+                blocks.setdefault(rows, {})[name] = fn
+            else:
+                plain[name] = rolling(by, order, value, fn, rows)
+        for rows, extremes in blocks.items():
+            part = with_extremes(part, by, order, value, rows, extremes)
+        return part.withColumns(plain) if plain else part
 
     reach = max(rows for _, rows in frames.values()) - 1
     return over_series(df, keys, order, reach, compute, segment_rows)
@@ -157,18 +200,15 @@ def price_analytics(
 ) -> DataFrame:
     """Daily return, 52-week high and low, rolling volatility.
 
-    All windows share one partitioning and order: a single shuffle and sort. The
-    first row of a key has no return; it feeds the frames and is dropped after.
+    All windows share one hash partitioning: a single shuffle. The first row of a
+    key has no return; it feeds the frames and is dropped after.
     """
+    year = {"week_52_high": "max", "week_52_low": "min"}
+
     def compute(part: DataFrame, by: list[str]) -> DataFrame:
         return (
-            part.withColumns(
-                {
-                    "_previous": F.lag(value).over(series(by, order)),
-                    "week_52_high": rolling(by, order, value, "max", C.TRADING_DAYS),
-                    "week_52_low": rolling(by, order, value, "min", C.TRADING_DAYS),
-                }
-            )
+            with_extremes(part, by, order, value, C.TRADING_DAYS, year)
+            .withColumn("_previous", F.lag(value).over(series(by, order)))
             .withColumn("daily_return", simple_return(value, "_previous"))
             .drop("_previous")
             .withColumn("rolling_30d_vol_annualized", rolling_vol(by, order))

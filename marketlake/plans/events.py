@@ -8,7 +8,7 @@ from pyspark.sql.window import Window, WindowSpec
 
 from marketlake import constants as C
 from marketlake.functions.predicates import event_condition, with_trailing_volume
-from marketlake.functions.quantiles import exact_quantiles
+from marketlake.functions.quantiles import exact_quantiles, spread_rows
 from marketlake.operators.reshape import pivot_horizons
 
 MAX_DAYS = max(C.HORIZON_DAYS)
@@ -146,16 +146,19 @@ def horizon_rows(study: DataFrame) -> DataFrame:
 
 def event_summary(study: DataFrame) -> DataFrame:
     """Per horizon, in percent: mean, median, share positive, best, worst."""
-    rows = horizon_rows(study)
+    group = ["horizon", "days"]
+    rows = spread_rows(horizon_rows(study), group, "ret")
     positive = F.count_if(F.col("ret") > 0) * 100.0 / F.nullif(F.count("ret"), F.lit(0))
-    stats = rows.groupBy("horizon", "days").agg(
+    stats = rows.groupBy(*group).agg(
         F.round(F.avg("ret") * 100, 2).alias("avg_pct"),
         F.round(positive, 1).alias("positive_pct"),
         F.round(F.max("ret") * 100, 2).alias("best_pct"),
         F.round(F.min("ret") * 100, 2).alias("worst_pct"),
     )
-    medians = exact_quantiles(rows, ["horizon"], "ret", {"median": 0.5}, few_groups=True)
-    return stats.join(F.broadcast(medians), "horizon").select(
+    medians = exact_quantiles(
+        rows, group, "ret", {"median": 0.5}, few_groups=True, spread=False
+    )
+    return stats.join(F.broadcast(medians), group).select(
         "horizon", "days", "avg_pct", F.round(F.col("median") * 100, 2).alias("median_pct"),
         "positive_pct", "best_pct", "worst_pct",
     ).orderBy("days")

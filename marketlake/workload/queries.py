@@ -683,33 +683,28 @@ def dq_future(spark, sf):
 
 @query
 def dq_bounds(spark, sf):
-    """All range rules over one pass of each fact."""
-    facts = MK.fact_prices(spark, sf)
-    fundamentals = MK.fact_fundamentals(spark, sf)
-    rules = [
-        ("close > 0", Q.expect_between(facts, "close_price", low=0, strict_low=True), "close_price"),
-        ("volume >= 0", Q.expect_between(facts, "volume", low=0), "volume"),
-        ("return in bounds", Q.expect_between(facts, "daily_return", -0.5, 0.5), "daily_return"),
-    ]
-    fundamentals_rules = [
-        ("revenue >= 0", Q.expect_between(fundamentals, "total_revenue", low=0), "total_revenue"),
-        ("assets >= 0", Q.expect_between(fundamentals, "total_assets", low=0), "total_assets"),
-    ]
-    dates = {"close_price": "price_date", "volume": "price_date", "daily_return": "price_date"}
-    return rounded(
-        shaping.concat(
-            [
-                df.select(
-                    F.lit(rule).alias("rule"),
-                    "ticker",
-                    F.col(dates.get(col, "period_end_date")).alias("day"),
-                    F.col(col).cast("double").alias("value"),
-                )
-                for rule, df, col in rules + fundamentals_rules
-            ]
-        ),
-        "value",
+    """All range rules, one pass over each fact."""
+    daily = Q.range_violations(
+        MK.fact_prices(spark, sf),
+        ["ticker", "price_date"],
+        {
+            "close > 0": ("close_price", 0, None, True),
+            "volume >= 0": ("volume", 0, None, False),
+            "return in bounds": ("daily_return", -0.5, 0.5, False),
+        },
+    )
+    periods = Q.range_violations(
+        MK.fact_fundamentals(spark, sf),
+        ["ticker", "period_end_date"],
+        {
+            "revenue >= 0": ("total_revenue", 0, None, False),
+            "assets >= 0": ("total_assets", 0, None, False),
+        },
+    )
+    both = daily.withColumnRenamed("price_date", "day").unionByName(
+        periods.withColumnRenamed("period_end_date", "day")
     )
+    return rounded(both, "value")
 
 
 @query
