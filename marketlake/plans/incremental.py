@@ -93,15 +93,15 @@ def build_fact(
     try:
         if set(target.columns) != set(batch.columns):
             merged = merge_by_key(sync_columns(target, batch.schema), batch, keys)
-            out = tables.next_version(spark, path)
+            out, merge = tables.next_version(spark, path), False
         else:
             # bounded by the calendar, not by the data
             months = [r[0] for r in batch.select(tables.MONTH).distinct().collect()]
             touched = target.where(F.col(tables.MONTH).isin(months))
             merged = merge_by_key(touched.select(*batch.columns), batch, keys)
-            out = tables.current_version(spark, path)
+            out, merge = tables.current_version(spark, path), True
         if rows:
-            tables.clustered_write(merged, out, S.CLUSTERING[name], tables.MONTH)
+            tables.clustered_write(merged, out, S.CLUSTERING[name], tables.MONTH, merge)
         tables.drop_old_versions(spark, path)
     finally:
         fs, folder = tables._fs(spark, batch_path)

@@ -105,12 +105,19 @@ def clustered(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.repartitionByRange(*cols).sortWithinPartitions(*cols)
 
 
-def clustered_write(df: DataFrame, path: str, cols: list[str], partition: str | None = None) -> int:
-    order = [partition, *cols] if partition else cols
+def clustered_write(
+    df: DataFrame, path: str, cols: list[str], partition: str | None = None, merge: bool = False
+) -> int:
+    """Write clustered, replacing `path`; with `merge` only the partitions present in
+    `df` are replaced (Spark stages them aside and moves them in on commit, so `df`
+    may read from `path`)."""
+    mode = "dynamic" if merge else "static"
+
     def writer(d: DataFrame) -> DataFrameWriter:
-        w = d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        w = d.write.mode("overwrite").option("partitionOverwriteMode", mode)
         return w.partitionBy(partition) if partition else w
-    return counted_write(clustered(df, order), writer, path)
+
+    return counted_write(clustered(df, [partition, *cols] if partition else cols), writer, path)
 
 
 @contextmanager

@@ -4,6 +4,7 @@ arrived since the last one, lands them, and merges the days they change."""
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,4 +74,6 @@ def load_new_prices(
     state_dir: str | None = None,
 ) -> None:
     handle = daily_price_loader(spark, raw_path, fact_path, security, calendar)
-    run_available(spark, drop_dir, RAW_PRICES, handle, "daily-prices", state_dir)
+    # one memory of seen files per (source, target)
+    route = hashlib.md5(f"{drop_dir} {fact_path}".encode()).hexdigest()
+    run_available(spark, drop_dir, RAW_PRICES, handle, f"daily-prices-{route}", state_dir)
