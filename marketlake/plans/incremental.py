@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from marketlake import constants as C
 from marketlake import schemas as S
 from marketlake.functions.scalar import NS_PER_DAY
-from marketlake.operators.merge import merge_by_key, sync_columns, unique_by
+from marketlake.operators.merge import merge_by_key, sync_columns
 from marketlake.plans.marts import int_daily_returns
 from marketlake.plans.staging import stg_prices
 from marketlake.sources import tables
@@ -24,6 +24,10 @@ def _ns(day: dt.date) -> int:
     return (day - dt.date(1970, 1, 1)).days * NS_PER_DAY
 
 
+def _closes(raw: DataFrame) -> DataFrame:
+    return stg_prices(raw, keep=["close_price", "volume"])
+
+
 def returns_after(raw: DataFrame, high_water: dt.date, days: int = LOOK_BACK_DAYS) -> DataFrame:
     """`int_daily_returns` rows newer than `high_water`, equal to those of a full
     build, from a bounded piece of history.
@@ -33,7 +37,7 @@ def returns_after(raw: DataFrame, high_water: dt.date, days: int = LOOK_BACK_DAY
     tickers with fewer rows in that span have their older history read too.
     """
     cut = high_water - dt.timedelta(days=days)
-    span = stg_prices(raw.where(F.col("date") >= F.lit(_ns(cut))))
+    span = _closes(raw.where(F.col("date") >= F.lit(_ns(cut))))
     rows = F.count_if(F.col("price_date") <= F.lit(high_water))
     fresh = F.count_if(F.col("price_date") > F.lit(high_water))
     active = span.groupBy("ticker").agg(rows.alias("_rows"), fresh.alias("_fresh"))
@@ -41,7 +45,7 @@ def returns_after(raw: DataFrame, high_water: dt.date, days: int = LOOK_BACK_DAY
     short = active.where(F.col("_rows") < LOOK_BACK_ROWS).select("ticker")
     older_raw = raw.where(F.col("date") < F.lit(_ns(cut))).join(short, "ticker", "left_semi")
     history = span.join(active.select("ticker"), "ticker", "left_semi").unionByName(
-        stg_prices(older_raw)
+        _closes(older_raw)
     )
     return int_daily_returns(history).where(F.col("price_date") > F.lit(high_water))
 
@@ -57,10 +61,10 @@ def returns_changed(raw: DataFrame, high_water: dt.date, loaded_after: dt.dateti
     late_rows = raw.where(
         (F.col("extracted_at") > since_ns) & (F.col("date") <= F.lit(_ns(high_water)))
     )
-    late = stg_prices(late_rows, dedupe=False).groupBy("ticker").agg(
+    late = stg_prices(late_rows, dedupe=False, keep=[]).groupBy("ticker").agg(
         F.min("price_date").alias("_from")
     )
-    redone = int_daily_returns(stg_prices(raw.join(late, "ticker", "left_semi")))
+    redone = int_daily_returns(_closes(raw.join(late, "ticker", "left_semi")))
     redone = redone.join(late, "ticker").where(F.col("price_date") >= F.col("_from"))
     rest = returns_after(raw, high_water).join(late.select("ticker"), "ticker", "left_anti")
     return redone.drop("_from").unionByName(rest)
@@ -71,14 +75,15 @@ def build_fact(
 ) -> int:
     """Bring a stored fact up to date with `df`; returns the rows of `df` written.
 
-    No table yet, or `full_refresh`: a new version from `df` alone. Otherwise `df`
+    No table yet, or `full_refresh`: a new version from `df` alone, as it is (its keys
+    are unique by how the facts are built; `expect_key` checks them). Otherwise `df`
     is merged by the fact's key, and only the months it touches are rewritten. If
     the columns changed, the merged table becomes a new version instead.
     """
     date, keys = S.DATE_COLUMN[name], S.KEYS[name]
     target = None if full_refresh else tables.read_table(spark, path)
     if target is None:
-        whole = tables.with_month(unique_by(df, keys), date)
+        whole = tables.with_month(df, date)
         rows = tables.clustered_write(
             whole, tables.next_version(spark, path), S.CLUSTERING[name], tables.MONTH
         )

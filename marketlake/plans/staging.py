@@ -24,9 +24,20 @@ from marketlake.functions.scalar import (
 from marketlake.sources.shaping import latest_by
 
 
-def stg_prices(raw: DataFrame, dedupe: bool = True) -> DataFrame:
+PRICE_COLUMNS = ["close_price", "volume", "open_price", "high_price", "low_price"]
+
+
+def stg_prices(
+    raw: DataFrame, dedupe: bool = True, keep: list[str] = PRICE_COLUMNS
+) -> DataFrame:
     """Typed prices. RAW is append-only, so a day may come in several copies: the
-    last extracted one counts."""
+    last extracted one counts.
+
+    `keep` narrows the value columns before they are shuffled (the newest row is
+    picked as a whole, so the optimizer cannot drop columns by itself). Ties in load
+    time are settled by the columns in the order above: a narrow call that keeps the
+    leading ones picks the same values as a wide one.
+    """
     typed = clean_prices(raw).select(
         "ticker",
         ns_to_date("date").alias("price_date"),
@@ -37,7 +48,9 @@ def stg_prices(raw: DataFrame, dedupe: bool = True) -> DataFrame:
         to_bigint("volume").alias("volume"),
         ns_to_ts("extracted_at").alias("extracted_at"),
     )
-    return latest_by(typed, ["ticker", "price_date"], ["extracted_at"]) if dedupe else typed
+    columns = ["ticker", "price_date", *[c for c in PRICE_COLUMNS if c in keep], "extracted_at"]
+    narrow = typed.select(*columns)
+    return latest_by(narrow, ["ticker", "price_date"], ["extracted_at"]) if dedupe else narrow
 
 
 def stg_companies(raw: DataFrame) -> DataFrame:

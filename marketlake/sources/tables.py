@@ -98,11 +98,18 @@ def with_month(df: DataFrame, date: str) -> DataFrame:
     return df.withColumn(MONTH, F.year(date) * 100 + F.month(date))
 
 
-def clustered(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Range-partition and sort, so Parquet min/max statistics prune on `cols`.
-    Ranges are cut by sampled row counts, so a hot value gets more than one task
-    as long as `cols` together are nearly unique."""
-    return df.repartitionByRange(*cols).sortWithinPartitions(*cols)
+def clustered(df: DataFrame, cols: list[str], partition: str | None = None) -> DataFrame:
+    """Arrange rows so that Parquet min/max statistics prune on `cols`.
+
+    Without a partition column: ranges of `cols`, cut by sampled row counts, so a
+    hot value gets more than one task as long as `cols` together are nearly unique.
+    With one: rows are brought together per partition, where adaptive execution
+    splits large ones and joins small ones by their measured size, and no sampling
+    pass runs the plan a second time.
+    """
+    if partition is None:
+        return df.repartitionByRange(*cols).sortWithinPartitions(*cols)
+    return df.hint("rebalance", F.col(partition)).sortWithinPartitions(partition, *cols)
 
 
 def clustered_write(
@@ -117,7 +124,7 @@ def clustered_write(
         w = d.write.mode("overwrite").option("partitionOverwriteMode", mode)
         return w.partitionBy(partition) if partition else w
 
-    return counted_write(clustered(df, [partition, *cols] if partition else cols), writer, path)
+    return counted_write(clustered(df, cols, partition), writer, path)
 
 
 @contextmanager

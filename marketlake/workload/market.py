@@ -233,10 +233,22 @@ def statement_matrix(spark, sf, frequency):
 # ---- layers ----------------------------------------------------------------
 
 
+CLOSES = ["close_price", "volume"]
+
+
 def prices(spark, sf):
     return staging.stg_prices(raw_prices(spark, sf))
 
 
+def closes(spark, sf):
+    return staging.stg_prices(raw_prices(spark, sf), keep=CLOSES)
+
+
+def price_days(spark, sf):
+    """Every loaded copy: enough for first and last days, and no shuffle of rows."""
+    return staging.stg_prices(raw_prices(spark, sf), dedupe=False, keep=[])
+
+
 def companies(spark, sf):
     return staging.stg_companies(raw_companies(spark, sf))
 
@@ -258,13 +270,13 @@ def calendar(spark):
 
 
 def security(spark, sf):
-    return marts.dim_security(companies(spark, sf), prices(spark, sf))
+    return marts.dim_security(companies(spark, sf), price_days(spark, sf))
 
 
 def fact_prices(spark, sf):
     """The security filter only needs company tickers: no price range per ticker is
     computed for it."""
-    returns = marts.int_daily_returns(prices(spark, sf))
+    returns = marts.int_daily_returns(closes(spark, sf))
     return marts.fact_daily_prices(returns, companies(spark, sf), calendar(spark))
 
 

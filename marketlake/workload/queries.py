@@ -136,18 +136,18 @@ def _funds(spark, sf):
 
 @query
 def equities_left_anti(spark, sf):
-    kept = shaping.exclude_keys(MK.prices(spark, sf), _funds(spark, sf), "ticker")
+    kept = shaping.exclude_keys(MK.closes(spark, sf), _funds(spark, sf), "ticker")
     return rounded(kept.select("ticker", "price_date", "close_price"), "close_price")
 
 
 @query
 def members_left_semi(spark, sf):
-    inside, _ = shaping.split_by_membership(MK.prices(spark, sf), _funds(spark, sf), "ticker")
+    inside, _ = shaping.split_by_membership(MK.closes(spark, sf), _funds(spark, sf), "ticker")
     return rounded(inside.select("ticker", "price_date", "close_price"), "close_price")
 
 
 def _quotes(spark, sf):
-    return rounded(MK.prices(spark, sf).select("ticker", "price_date", "close_price"), "close_price")
+    return rounded(MK.closes(spark, sf).select("ticker", "price_date", "close_price"), "close_price")
 
 
 @query
@@ -178,7 +178,7 @@ def series_union_all(spark, sf):
 def date_spine(spark, sf):
     """Every calendar day with the number of price rows on it."""
     spine = MK.calendar(spark).select("date_key")
-    per_day = MK.prices(spark, sf).groupBy("price_date").agg(F.count("*").alias("n"))
+    per_day = MK.closes(spark, sf).groupBy("price_date").agg(F.count("*").alias("n"))
     return spine.join(per_day, F.col("date_key") == F.col("price_date"), "left").select(
         "date_key", F.coalesce("n", F.lit(0)).alias("price_rows")
     )
@@ -189,12 +189,12 @@ def date_spine(spark, sf):
 
 @query
 def highwater_max_date(spark, sf):
-    return M.high_water(MK.prices(spark, sf), "price_date")
+    return M.high_water(MK.price_days(spark, sf), "price_date")
 
 
 @query
 def lowwater_min_date(spark, sf):
-    return M.low_water(MK.prices(spark, sf), "price_date")
+    return M.low_water(MK.price_days(spark, sf), "price_date")
 
 
 @query
@@ -227,9 +227,9 @@ def merge_upsert(spark, sf):
 @query
 def schema_sync_union(spark, sf):
     """An old target (one column gone since, one not there yet) beside new rows."""
-    rows = MK.prices(spark, sf)
+    rows = MK.closes(spark, sf)
     old = rows.where(F.col("price_date") <= day(SPLIT)).select(
-        "ticker", "price_date", "close_price", F.col("open_price").alias("retired")
+        "ticker", "price_date", "close_price", F.col("extracted_at").alias("retired")
     )
     new = rows.where(F.col("price_date") > day(SPLIT)).select(
         "ticker", "price_date", "close_price", "volume"
@@ -292,7 +292,7 @@ def derived_margins(spark, sf):
 @query
 def dim_date(spark, sf):
     """The calendar with every attribute, and the price rows of each day."""
-    per_day = MK.prices(spark, sf).groupBy("price_date").agg(F.count("*").alias("n"))
+    per_day = MK.closes(spark, sf).groupBy("price_date").agg(F.count("*").alias("n"))
     days = MK.calendar(spark).join(per_day, F.col("date_key") == F.col("price_date"), "left")
     return days.withColumn("price_rows", F.coalesce("n", F.lit(0))).drop("price_date", "n")
 
@@ -402,7 +402,7 @@ def rolling_vol_annualized(spark, sf):
 def moving_average(spark, sf):
     """Computed over segments of each series rather than whole series."""
     frames = {"moving_avg_30d": ("avg", 30)}
-    closes = MK.prices(spark, sf).select("ticker", "price_date", "close_price")
+    closes = MK.closes(spark, sf).select("ticker", "price_date", "close_price")
     averaged = W.with_rolling(
         closes, ["ticker"], "price_date", "close_price", frames, segment_rows=512
     )
@@ -426,7 +426,7 @@ def cumulative_return_full(spark, sf):
 @query
 def snapshot_diff(spark, sf):
     """First-loaded against last-loaded close of each ticker and day."""
-    loads = MK.prices(spark, sf).select("ticker", "price_date", "close_price")
+    loads = MK.closes(spark, sf).select("ticker", "price_date", "close_price")
     first = _every_copy(spark, sf).groupBy("ticker", "price_date").agg(
         F.min_by("close_price", "extracted_at").alias("close_price")
     )
@@ -511,7 +511,7 @@ def macro_asof(spark, sf):
 @query
 def asof_by_key(spark, sf):
     """Each price row with the last annual or quarterly revenue known by its day."""
-    quotes = MK.prices(spark, sf).select("ticker", "price_date", "close_price")
+    quotes = MK.closes(spark, sf).select("ticker", "price_date", "close_price")
     periods = MK.fact_fundamentals(spark, sf).where(F.col("frequency") == "quarterly").select(
         "ticker", F.col("period_end_date").alias("price_date"), "total_revenue"
     )
@@ -571,7 +571,7 @@ def null_counts_per_row(spark, sf):
 @query
 def melt_series(spark, sf):
     """Daily highest and lowest close of the market as two chart series."""
-    market = MK.prices(spark, sf).groupBy("price_date").agg(
+    market = MK.closes(spark, sf).groupBy("price_date").agg(
         F.max("close_price").alias("top_close"), F.min("close_price").alias("low_close")
     )
     return rounded(R.melt_series(market, "price_date"), "value")
@@ -585,7 +585,7 @@ def corr_matrix(spark, sf):
 
 @query
 def ols_trend(spark, sf):
-    points = MK.prices(spark, sf).select(
+    points = MK.closes(spark, sf).select(
         "ticker", F.datediff("price_date", day("1995-01-01")).alias("x"), "close_price"
     )
     return rounded_all(R.ols_trend(points, "x", "close_price", ["ticker"]))
@@ -660,7 +660,7 @@ def dq_orphans(spark, sf):
 @query
 def freshness(spark, sf):
     checks = [
-        ("prices", MK.prices(spark, sf), "price_date", 3, AS_OF),
+        ("prices", MK.price_days(spark, sf), "price_date", 3, AS_OF),
         ("macro", MK.macro(spark, sf), "observation_date", 5, "2001-07-28"),
         ("valuations", MK.valuations(spark, sf), "snapshot_date", 3, "2024-03-01"),
         ("statements", MK.statements(spark, sf), "extracted_at", 10, "2024-02-01"),
@@ -677,7 +677,7 @@ def freshness(spark, sf):
 
 @query
 def dq_future(spark, sf):
-    late = Q.expect_not_future(MK.prices(spark, sf), "price_date", "2001-06-30")
+    late = Q.expect_not_future(MK.closes(spark, sf), "price_date", "2001-06-30")
     return late.select("ticker", "price_date")
 
 
@@ -716,7 +716,7 @@ def coverage_by_key(spark, sf):
 @query
 def baseline_tolerance(spark, sf):
     """Every close against a baseline that is off for some rows and unset for some."""
-    facts = MK.prices(spark, sf).select("ticker", "price_date", "close_price", "volume")
+    facts = MK.closes(spark, sf).select("ticker", "price_date", "close_price", "volume")
     shift = F.when(F.col("volume") % 10 == 1, F.lit(0.02)).otherwise(F.lit(0.001))
     base = facts.select(
         "ticker",
