@@ -45,12 +45,19 @@ def fill_daily(
     )
 
 
-def join_macro(prices: DataFrame, macro: DataFrame, series_id: str) -> DataFrame:
-    """Prices beside one macro series on the same day (inner).
+def one_series(macro: DataFrame, series_id: str) -> DataFrame:
+    """One reading per day of one series (the last loaded, if a day has copies): never
+    more rows than calendar days, which is what makes it safe to broadcast."""
+    order = "extracted_at" if "extracted_at" in macro.columns else "value"
+    chosen = macro.where(F.col("series_id") == series_id)
+    return chosen.groupBy("series_id", "observation_date").agg(
+        F.max_by("value", order).alias("value")
+    )
 
-    One series has one row per calendar day at most, which bounds the broadcast.
-    """
-    one = macro.where(F.col("series_id") == series_id).select(
+
+def join_macro(prices: DataFrame, macro: DataFrame, series_id: str) -> DataFrame:
+    """Prices beside one macro series on the same day (inner)."""
+    one = one_series(macro, series_id).select(
         F.col("observation_date").alias("price_date"), F.col("value").alias("macro_value")
     )
     return prices.join(F.broadcast(one), "price_date")
@@ -60,8 +67,8 @@ def join_macro_asof(
     prices: DataFrame, macro: DataFrame, series_id: str, until: Column
 ) -> DataFrame:
     """Prices beside the last known value of one macro series on or before the
-    day; null before its first reading. Bounded as in `join_macro`."""
-    one = fill_daily(macro.where(F.col("series_id") == series_id), until).select(
+    day; null before its first reading."""
+    one = fill_daily(one_series(macro, series_id), until).select(
         F.col("day").alias("price_date"), "known_since", F.col("value").alias("macro_value")
     )
     return prices.join(F.broadcast(one), "price_date", "left")

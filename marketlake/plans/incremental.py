@@ -109,8 +109,7 @@ def build_fact(
             tables.clustered_write(merged, out, S.CLUSTERING[name], tables.MONTH, merge)
         tables.drop_old_versions(spark, path)
     finally:
-        fs, folder = tables._fs(spark, batch_path)
-        fs.delete(folder, True)
+        tables.delete_folder(spark, batch_path)
     return rows
 
 

@@ -46,12 +46,16 @@ def next_version(spark: SparkSession, path: str) -> str:
     return f"{path}/v{int(done[-1][1:]) + 1 if done else 1:05d}"
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, folder = _fs(spark, path)
+    fs.delete(folder, True)
+
+
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
     """Delete all but the newest `keep` versions; running readers may still hold
     the one before the newest."""
     for name in _versions(spark, path)[:-keep]:
-        fs, folder = _fs(spark, f"{path}/{name}")
-        fs.delete(folder, True)
+        delete_folder(spark, f"{path}/{name}")
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:

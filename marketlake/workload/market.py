@@ -157,7 +157,7 @@ def raw_valuations(spark, sf):
     )
 
 
-def _observations(spark, sf):
+def observations(spark, sf):
     """events as (series, day, value): five series, one of them monthly."""
     kind = F.col("event_type")
     day = F.date_add(F.lit("1995-01-01").cast("date"), (F.col("event_id") % 2404).cast("int"))
@@ -171,7 +171,7 @@ def _observations(spark, sf):
 
 
 def raw_macro(spark, sf):
-    daily = _observations(spark, sf).groupBy("series_id", "day").agg(
+    daily = observations(spark, sf).groupBy("series_id", "day").agg(
         F.max_by("value", "event_id").alias("value"), F.max("event_id").alias("event_id")
     )
     return daily.join(F.broadcast(macro_names(spark)), "series_id", "left").select(
@@ -190,7 +190,7 @@ def observation_payloads(spark, sf):
         F.when(F.col("event_id") % 7 == 0, ".").otherwise(F.col("value").cast("string")).alias("value"),
     )
     return (
-        _observations(spark, sf)
+        observations(spark, sf)
         .groupBy("series_id", F.expr("event_id div 100").alias("page"))
         .agg(F.to_json(F.struct(F.collect_list(obs).alias("observations"))).alias("payload"))
     )

@@ -169,7 +169,7 @@ def range_lookback(spark, sf):
 
 @query
 def series_union_all(spark, sf):
-    raw = MK._observations(spark, sf).select("series_id", "day", "value")
+    raw = MK.observations(spark, sf).select("series_id", "day", "value")
     frames = [raw.where(F.col("series_id") == s) for s in MK.SERIES.values()]
     return rounded(shaping.concat(frames), "value")
 
