@@ -84,9 +84,13 @@ def build_fact(
     target = None if full_refresh else tables.read_table(spark, path)
     if target is None:
         whole = tables.with_month(df, date)
-        rows = tables.clustered_write(
-            whole, tables.next_version(spark, path), S.CLUSTERING[name], tables.MONTH
-        )
+        version = tables.next_version(spark, path)
+        rows = tables.clustered_write(whole, version, S.CLUSTERING[name], tables.MONTH)
+        if rows == 0:
+            # nothing to show yet is fine; replacing a table with nothing is not
+            tables.delete_folder(spark, version)
+            if tables.current_version(spark, path):
+                raise ValueError(f"refusing to replace {path} with an empty frame")
         tables.drop_old_versions(spark, path)
         return rows
 

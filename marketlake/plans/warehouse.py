@@ -138,35 +138,47 @@ def checks(spark: SparkSession, base: str, as_of: dt.date | str) -> dict[str, Da
     """Every standing check by name, each the frame of its violations. Null checks
     of one table share a scan."""
     t = staging_views(spark, base) | stored_marts(spark, base)
-    out = {f"not_null {name}": Q.null_counts(t[name], cols) for name, cols in NOT_NULL.items()}
-    out |= {f"unique {name}": Q.expect_unique(t[name], col) for name, col in UNIQUE.items()}
-    out |= {f"accepted {n}.{col}": Q.expect_in(t[n], col, values) for n, col, values in ACCEPTED}
-    out |= {f"key {name}": Q.expect_key(t[name], keys) for name, keys in S.KEYS.items()}
-    out |= {f"fresh {n}": Q.expect_fresh(t[n], col, days, as_of) for n, col, days in FRESH_DAYS}
-    prices, fundamentals = t["fact_daily_prices"], t["fact_fundamentals"]
-    excluded = values_df(spark, [(x,) for x in C.COVERAGE_EXCLUSIONS], "ticker string")
+    built = lambda declared: [entry for entry in declared if entry[0] in t]
+    out = {f"not_null {n}": Q.null_counts(t[n], cols) for n, cols in built(NOT_NULL.items())}
+    out |= {f"unique {n}": Q.expect_unique(t[n], col) for n, col in built(UNIQUE.items())}
+    out |= {f"accepted {n}.{col}": Q.expect_in(t[n], col, ok) for n, col, ok in built(ACCEPTED)}
+    out |= {f"key {n}": Q.expect_key(t[n], keys) for n, keys in built(S.KEYS.items())}
+    out |= {
+        f"fresh {n}": Q.expect_fresh(t[n], col, days, as_of) for n, col, days in built(FRESH_DAYS)
+    }
     out |= {
+        f"orphans {n}": Q.expect_fk(t[n], t["dim_security"], "ticker")
+        for n in S.KEYS
+        if n in t and "ticker" in S.KEYS[n]
+    }
+    if "fact_daily_prices" in t:
+        out |= _price_checks(spark, t["fact_daily_prices"], as_of)
+    if "fact_fundamentals" in t:
+        out |= _fundamental_checks(t["fact_fundamentals"], as_of)
+    return out
+
+
+def _price_checks(spark, prices: DataFrame, as_of) -> dict[str, DataFrame]:
+    excluded = values_df(spark, [(x,) for x in C.COVERAGE_EXCLUSIONS], "ticker string")
+    rules = {
+        "close > 0": ("close_price", 0, None, True),
+        "volume >= 0": ("volume", 0, None, False),
+        "return within 50%": ("daily_return", -0.5, 0.5, False),
+    }
+    return {
         "future prices": Q.expect_not_future(prices, "price_date", as_of),
-        "future periods": Q.expect_not_future(fundamentals, "period_end_date", as_of),
-        "price ranges": Q.range_violations(
-            prices,
-            ["ticker", "price_date"],
-            {
-                "close > 0": ("close_price", 0, None, True),
-                "volume >= 0": ("volume", 0, None, False),
-                "return within 50%": ("daily_return", -0.5, 0.5, False),
-            },
-        ),
-        "fundamental ranges": Q.range_violations(
-            fundamentals,
-            ["ticker", "period_end_date", "frequency"],
-            {
-                "revenue >= 0": ("total_revenue", 0, None, False),
-                "assets >= 0": ("total_assets", 0, None, False),
-            },
-        ),
+        "price ranges": Q.range_violations(prices, ["ticker", "price_date"], rules),
         "coverage": Q.coverage_lag(prices, "ticker", "price_date", 5, excluded),
     }
-    for name in ("fact_daily_prices", "fact_fundamentals", "fact_valuation_snapshot"):
-        out[f"orphans {name}"] = Q.expect_fk(t[name], t["dim_security"], "ticker")
-    return out
+
+
+def _fundamental_checks(fundamentals: DataFrame, as_of) -> dict[str, DataFrame]:
+    rules = {
+        "revenue >= 0": ("total_revenue", 0, None, False),
+        "assets >= 0": ("total_assets", 0, None, False),
+    }
+    keys = S.KEYS["fact_fundamentals"]
+    return {
+        "future periods": Q.expect_not_future(fundamentals, "period_end_date", as_of),
+        "fundamental ranges": Q.range_violations(fundamentals, keys, rules),
+    }

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from marketlake import constants as C
 from marketlake import schemas as S
 from marketlake.plans import warehouse as WH
+from marketlake.plans.incremental import build_fact
 from marketlake.sources import tables as T
 from marketlake.sources.shaping import latest_by
 from tests.helpers import NS_DAY, as_set
@@ -81,6 +82,21 @@ def test_second_build_adds_what_changed(spark, base):
     assert {n: as_set(WH.stored_marts(spark, base)[n], 9) for n in S.KEYS} == kept
 
 
+def test_facts_without_data_are_absent_until_loaded(spark, tmp_path):
+    folder = str(tmp_path)
+    land(spark, folder, "prices", price_rows(["A"], 0, 5, 10**9))
+    land(spark, folder, "company_info", [("A", "Alpha", "Tech", None, 5e9, None)])
+    written = WH.build(spark, folder)
+    assert written["fact_daily_prices"] == 4 and written["fact_fundamentals"] == 0
+    assert "fact_fundamentals" not in WH.register_views(spark, folder)
+    assert "key fact_daily_prices" in WH.checks(spark, folder, "2024-01-06")
+    empty = WH.stored_marts(spark, folder)["fact_daily_prices"].limit(0)
+    path = f"{folder}/marts/fact_daily_prices"
+    with pytest.raises(ValueError):
+        build_fact(spark, path, empty, "fact_daily_prices", full_refresh=True)
+    assert WH.stored_marts(spark, folder)["fact_daily_prices"].count() == 4
+
+
 def test_copies_collapse_before_the_shuffle(spark):
     """A third of all rows on one key: copies are combined map-side."""
     rows = spark.range(3000).select(
