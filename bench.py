@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR   folder with the Parquet tables (default /root/testdata/sf0.1)
 BENCH_CPUS     local cores (default 8)
-BENCH_RUNS     timed runs per query after one warm-up (default 3, median kept)
+BENCH_RUNS     timed runs per query after one warm-up (default 2, median kept)
 BENCH_QUERIES  comma-separated names (default: the headline list; "all" for all)
 BENCH_ROWS     instead time the price fact over this many generated daily rows of
                616 tickers, to see how it grows
@@ -87,7 +87,7 @@ def growth(spark, rows: int, runs: int) -> dict[str, float]:
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     rows = int(os.environ.get("BENCH_ROWS", "0"))
     chosen = os.environ.get("BENCH_QUERIES", "")
     names = list(QUERIES) if chosen == "all" else chosen.split(",") if chosen else HEADLINE
