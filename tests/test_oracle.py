@@ -5,6 +5,8 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from marketlake.workload.oracles import ORACLES
+from marketlake.workload.queries import QUERIES
 from tests.compare import connect, difference
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -17,12 +19,12 @@ def con():
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    assert difference(entry.queries()[name](spark, SF), con, entry.oracle_sql()[name]) is None
+    assert difference(QUERIES[name](spark, SF), con, ORACLES[name]) is None
 
 
 def test_entry(spark):
