@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import sentencepieces
+from marketlake.llm import quality, sentencepieces, sharding, tokencounts
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -21,7 +21,25 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.digests(table(spark, sf_dir, "documents"), PIECES)
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.placement(table(spark, sf_dir, "documents"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents"))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.migrated(table(spark, sf_dir, "documents"), BYTES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_sharding": op2_sharding,
+    "op6_quality": op6_quality,
+    "op9_token_counts": op9_token_counts,
+}
+ORACLES: dict[str, str] = {
+    "op2_sharding": sharding.placement_sql(),
+    "op6_quality": quality.report_sql(),
 }
-ORACLES: dict[str, str] = {}
