@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import quality, sentencepieces, sharding, tokencounts
+from marketlake.llm import langid, packing, quality, sentencepieces, sharding, tokencounts
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,10 +25,18 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.placement(table(spark, sf_dir, "documents"))
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.report(table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), BYTES)
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencounts.migrated(table(spark, sf_dir, "documents"), BYTES)
 
@@ -36,7 +44,9 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_sharding": op2_sharding,
+    "op3_langid": op3_langid,
     "op6_quality": op6_quality,
+    "op7_packing": op7_packing,
     "op9_token_counts": op9_token_counts,
 }
 ORACLES: dict[str, str] = {
