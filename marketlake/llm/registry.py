@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import langid, packing, quality, sentencepieces, sharding, tokencounts
+from marketlake.llm import langid, ngram_join, packing, quality, sentencepieces, sharding, tokencounts, toxicity
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -29,6 +29,10 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.report(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"))
 
@@ -41,13 +45,19 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencounts.migrated(table(spark, sf_dir, "documents"), BYTES)
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_sharding": op2_sharding,
     "op3_langid": op3_langid,
+    "op4_toxicity": op4_toxicity,
     "op6_quality": op6_quality,
     "op7_packing": op7_packing,
     "op9_token_counts": op9_token_counts,
+    "op10_ngram_join": op10_ngram_join,
 }
 ORACLES: dict[str, str] = {
     "op2_sharding": sharding.placement_sql(),
