@@ -8,9 +8,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import storage
+from marketlake.llm import langid, ngram_join, packing, quality, registry, storage, substrings
 
-STAGES = []
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return langid.keep_known(docs)
+
+
+def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.keep_good(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_join.keep_one(docs)
+
+
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return substrings.without_repeats(docs)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, registry.BYTES)
+
+
+STAGES = [
+    ("language", language),
+    ("quality", rules),
+    ("near_duplicates", near_duplicates),
+    ("passages", passages),
+    ("packing", sequences),
+]
 
 #: no SQL for trained models, similarity groups and packing; tested against brute force
 ORACLE_SQL = None

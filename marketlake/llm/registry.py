@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import langid, ngram_join, packing, quality, sentencepieces, sharding, tokencounts, toxicity
+from marketlake.llm import embeddings, langid, ngram_join, packing, quality, sentencepieces, sharding, substrings, tokencounts, toxicity
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -33,6 +33,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.join(table(spark, sf_dir, "embeddings"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BYTES)
 
 
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.report(table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencounts.migrated(table(spark, sf_dir, "documents"), BYTES)
 
@@ -54,8 +62,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op3_langid": op3_langid,
     "op4_toxicity": op4_toxicity,
+    "op5_embeddings": op5_embeddings,
     "op6_quality": op6_quality,
     "op7_packing": op7_packing,
+    "op8_substrings": op8_substrings,
     "op9_token_counts": op9_token_counts,
     "op10_ngram_join": op10_ngram_join,
 }
