@@ -13,7 +13,9 @@ from above, and so do those of the upper corners of two boxes around points.
    the thousand are joined in as many steps. Branches then left with sets of two or
    more components are cut into leaves of bounded size, ordered by size of the set;
    pairs of leaves are searched box by box, and pairs of sets within one component are
-   passed over.
+   passed over. As long as that links anything, a set offers only its `NEAREST` pairs of
+   greatest bound, so that groups of loose copies grow together by few pairs; a last
+   search offers every pair between components that the bound leaves.
 4. Pairs that the bound leaves are verified on the whole sets.
 
 Texts that are null or have no words have empty sets and link with nothing; rows with a
@@ -40,9 +42,10 @@ from marketlake.llm.storage import stored
 WORDS = 5
 #: two sets link when LINK_A * overlap >= LINK_B * union
 LINK_A, LINK_B = 100, 80
-GROUPS = 64
+GROUPS = 128
 BANDS, ROWS = 24, 3
 LEAF, BOX, SALT = 256, 16, 65_536
+NEAREST = 3
 
 _RANDOM = np.random.default_rng(20)
 _ODD = _RANDOM.integers(0, 1 << 63, size=BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -95,7 +98,7 @@ def signatures(docs: DataFrame) -> DataFrame:
             found = shingles(text)
             sizes.append(len(found))
             digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
-            counts.append(np.bincount((found >> np.uint64(58)).astype(np.int64), minlength=GROUPS).astype(np.int32))
+            counts.append(np.bincount((found >> np.uint64(57)).astype(np.int64), minlength=GROUPS).astype(np.int32))
             keys.append(branches(found))
         return [pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
                 lists_of(counts, pa.int32()), lists_of(keys, pa.int64())]
@@ -150,21 +153,30 @@ def _boxes(n: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.maximum.reduceat(counts, starts, axis=0), np.minimum.reduceat(n, starts)
 
 
-def search(a: dict, b: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the points in two leaves (v, n, label, counts) that the bound leaves."""
+def search(a: dict, b: dict, nearest: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the points in two leaves (v, n, label, counts) that the bound leaves;
+    with `nearest`, for each point of `a` those of greatest bound."""
     top_a, least_a = _boxes(a["n"], a["counts"])
     top_b, least_b = _boxes(b["n"], b["counts"])
     left, right = [], []
     for i in range(len(top_a)):
-        fits = enough(np.minimum(top_a[i], top_b).sum(axis=1), least_a[i], least_b)
-        for j in np.flatnonzero(fits):
-            p, q = np.arange(i * BOX, min((i + 1) * BOX, len(a["n"]))), np.arange(j * BOX, min((j + 1) * BOX, len(b["n"])))
-            bound = np.minimum(a["counts"][p][:, None, :], b["counts"][q][None, :, :]).sum(axis=2)
-            good = enough(bound, a["n"][p][:, None], b["n"][q][None, :])
-            good &= a["label"][p][:, None] != b["label"][q][None, :]
-            x, y = np.nonzero(good)
-            left.append(p[x])
-            right.append(q[y])
+        fits = np.flatnonzero(enough(np.minimum(top_a[i], top_b).sum(axis=1), least_a[i], least_b))
+        if not len(fits):
+            continue
+        p = np.arange(i * BOX, min((i + 1) * BOX, len(a["n"])))
+        q = np.concatenate([np.arange(j * BOX, min((j + 1) * BOX, len(b["n"]))) for j in fits])
+        bound = np.stack([np.minimum(x, b["counts"][q]).sum(axis=1) for x in a["counts"][p]])
+        good = enough(bound, a["n"][p][:, None], b["n"][q][None, :])
+        good &= a["label"][p][:, None] != b["label"][q][None, :]
+        if nearest and len(q) > nearest:
+            share = np.where(good, bound / (a["n"][p][:, None] + b["n"][q][None, :]), -1)
+            best = np.argpartition(-share, nearest, axis=1)[:, :nearest]
+            chosen = np.zeros_like(good)
+            np.put_along_axis(chosen, best, True, axis=1)
+            good &= chosen
+        x, y = np.nonzero(good)
+        left.append(p[x])
+        right.append(q[y])
     empty = np.empty(0, dtype=np.int64)
     return (np.concatenate(left), np.concatenate(right)) if left else (empty, empty)
 
@@ -193,7 +205,7 @@ def _leaf_pairs(mixed: DataFrame) -> DataFrame:
     return a.join(b, "key").where(near).select("points_a", "points_b").distinct()
 
 
-def _searched(pairs: DataFrame) -> DataFrame:
+def _searched(pairs: DataFrame, nearest: int | None) -> DataFrame:
     """Candidate pairs (a, b) of different components from pairs of leaves."""
 
     def leaf(points) -> dict:
@@ -201,14 +213,14 @@ def _searched(pairs: DataFrame) -> DataFrame:
             "v": np.array([p["v"] for p in points], dtype=np.int64),
             "n": np.array([p["n"] for p in points], dtype=np.int64),
             "label": np.array([p["label"] for p in points], dtype=np.int64),
-            "counts": np.array([p["counts"] for p in points], dtype=np.int64),
+            "counts": np.array([p["counts"] for p in points], dtype=np.int32),
         }
 
     def run(batches):
         for batch in slices(batches, 16):
             for x, y in zip(batch.column("points_a").to_pylist(), batch.column("points_b").to_pylist()):
                 a, b = leaf(x), leaf(y)
-                i, j = search(a, b)
+                i, j = search(a, b, nearest)
                 if len(i):
                     low, high = np.minimum(a["v"][i], b["v"][j]), np.maximum(a["v"][i], b["v"][j])
                     yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
@@ -236,13 +248,22 @@ def join(docs: DataFrame) -> DataFrame:
     bound = F.aggregate(F.zip_with("ca", "cb", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
     star = stored(_verified(sides.where(enough(bound, F.col("na"), F.col("nb"))), sets), "links")
 
-    labels = components(star)
-    at = shared.select("key", "v").join(labels.withColumnRenamed("component", "found"), "v", "left")
-    at = at.select("key", "v", F.coalesce("found", "v").alias("label"))
-    several = at.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
-    mixed = at.join(several, "key").join(point, "v").select("key", "v", "n", "label", "counts")
-    more = _verified(_searched(_leaf_pairs(mixed)), sets)
-    found = components(star.union(more).union(_shared_ids(full, classes)))
+    links, nearest = star.union(_shared_ids(full, classes)), NEAREST
+    while True:
+        found = components(links)
+        at = shared.select("key", "v").join(found.withColumnRenamed("component", "found"), "v", "left")
+        at = at.select("key", "v", F.coalesce("found", "v").alias("label"))
+        several = at.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
+        mixed = at.join(several.where("x < y").select("key"), "key").join(point, "v")
+        pairs = _searched(_leaf_pairs(mixed.select("key", "v", "n", "label", "counts")), nearest)
+        more = stored(_verified(pairs, sets), "links")
+        some = not more.isEmpty()
+        links = links.union(more)
+        if nearest is None:
+            found = components(links) if some else found
+            break
+        if not some:
+            nearest = None
 
     ids = points.join(classes, "digest", "left").join(found, "v", "left")
     return ids.select(
