@@ -135,7 +135,7 @@ class PieceTable:
 
     def _piece(self, token: int) -> str:
         """Tokens below 0 are characters without a piece of their own."""
-        return self.pieces[token] if token >= 0 else chr(-token)
+        return self.pieces[token] if token >= 0 else chr(-1 - token)
 
     def compatible(self, left: int | None, right: int) -> bool:
         """Whether `right` stays whole and apart after `left` (None: at the start)."""
@@ -168,7 +168,7 @@ class PieceTable:
                 if fits:
                     break
                 token = shorter[token]
-            last.append(token if token >= 0 else -ord(c))
+            last.append(token if token >= 0 else -1 - ord(c))
         out, at = [], len(text)
         while at:
             token = last[at]
@@ -182,7 +182,7 @@ class PieceTable:
             if token >= 0:
                 ids.append(token)
             elif self.bytes is not None:
-                ids.extend(self.bytes[b] for b in chr(-token).encode())
+                ids.extend(self.bytes[b] for b in chr(-1 - token).encode())
             elif not ids or ids[-1] != self.unk:
                 ids.append(self.unk)
         return np.array(ids, dtype=np.int32).tobytes()
