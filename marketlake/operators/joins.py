@@ -67,11 +67,18 @@ def join_macro_asof(
     prices: DataFrame, macro: DataFrame, series_id: str, until: Column
 ) -> DataFrame:
     """Prices beside the last known value of one macro series on or before the
-    day; null before its first reading."""
-    one = fill_daily(one_series(macro, series_id), until).select(
+    day; null before its first reading. `until` bounds the filled table only: days
+    after it take the last reading."""
+    readings = one_series(macro, series_id)
+    one = fill_daily(readings, until).select(
         F.col("day").alias("price_date"), "known_since", F.col("value").alias("macro_value")
     )
-    return prices.join(F.broadcast(one), "price_date", "left")
+    joined = prices.join(F.broadcast(one), "price_date", "left")
+    newest = readings.agg(F.max("observation_date")).scalar()
+    value = readings.agg(F.max_by("value", "observation_date")).scalar()
+    later = F.col("known_since").isNull() & (F.col("price_date") > newest)
+    return joined.withColumn("macro_value", F.when(later, value).otherwise(F.col("macro_value"))
+                             ).withColumn("known_since", F.when(later, newest).otherwise(F.col("known_since")))
 
 
 def asof_join(

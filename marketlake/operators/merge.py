@@ -19,12 +19,14 @@ def low_water(df: DataFrame, col: str) -> DataFrame:
 
 
 def incremental_rows(
-    src: DataFrame, tgt: DataFrame, col: str, scope: str = "global", keys: list[str] = ()
+    src: DataFrame, tgt: DataFrame, col: str, scope: str = "global", keys: list[str] = (),
+    compare: list[str] | None = None,
 ) -> DataFrame:
     """Source rows still missing from the target.
 
     "global": newer than the target's newest day (everything, if it has none).
-    "upsert": new or changed by key, however old.
+    "upsert": new or changed by key, however old; `compare` names the columns whose
+    change counts (all but the keys, if not given).
     """
     if scope == "global":
         newest = tgt.agg(F.max(col)).scalar()
@@ -34,7 +36,8 @@ def incremental_rows(
     s, t = src.alias("s"), tgt.alias("t")
     same = [F.col(f"s.{k}") == F.col(f"t.{k}") for k in keys]
     same += [
-        F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}")) for c in src.columns if c not in keys
+        F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}"))
+        for c in (src.columns if compare is None else compare) if c not in keys
     ]
     return s.join(t, reduce(and_, same), "left_anti")
 

@@ -50,16 +50,22 @@ def returns_after(raw: DataFrame, high_water: dt.date, days: int = LOOK_BACK_DAY
     return int_daily_returns(history).where(F.col("price_date") > F.lit(high_water))
 
 
-def returns_changed(raw: DataFrame, high_water: dt.date, loaded_after: dt.datetime) -> DataFrame:
+def returns_changed(
+    raw: DataFrame, high_water: dt.date, loaded_after: dt.datetime | int
+) -> DataFrame:
     """Rows to merge after a load, late and restated days included.
 
     A ticker that got rows at or before `high_water` after the last load is
     recomputed from its first such day on (its later frames may all have moved);
-    every other ticker only gets its new days.
+    every other ticker only gets its new days. `loaded_after` is a time or epoch
+    nanoseconds; rows without a load time count as new.
     """
-    since_ns = F.lit(int((loaded_after - dt.datetime(1970, 1, 1)).total_seconds()) * 10**9)
+    if isinstance(loaded_after, dt.datetime):
+        loaded_after = int((loaded_after - dt.datetime(1970, 1, 1)).total_seconds()) * 10**9
+    extracted = F.col("extracted_at")
     late_rows = raw.where(
-        (F.col("extracted_at") > since_ns) & (F.col("date") <= F.lit(_ns(high_water)))
+        (extracted.isNull() | (extracted > F.lit(loaded_after)))
+        & (F.col("date") <= F.lit(_ns(high_water)))
     )
     late = stg_prices(late_rows, dedupe=False, keep=[]).groupBy("ticker").agg(
         F.min("price_date").alias("_from")

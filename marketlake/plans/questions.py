@@ -26,7 +26,8 @@ def only(df: DataFrame, tickers: list[str] | None) -> DataFrame:
 
 
 def since_years(df: DataFrame, date: str, years: int, as_of: Column) -> DataFrame:
-    return df.where(F.col(date) > F.add_months(as_of, -12 * years))
+    """Rows of the `years` up to `as_of`, which itself is the last day."""
+    return df.where((F.col(date) > F.add_months(as_of, -12 * years)) & (F.col(date) <= as_of))
 
 
 def compare_cumulative(

@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marketlake import constants as C
 from marketlake import schemas as S
@@ -26,6 +27,13 @@ STAGING = {
     "stg_valuation_metrics": ("valuation_metrics", staging.stg_valuation_metrics),
 }
 MARTS = ["dim_date", "dim_security", *S.KEYS]
+LOADED = "_loaded"
+# staged days that facts take only if the calendar has them
+DAYS = {
+    "stg_prices": "price_date",
+    "stg_macro_indicators": "observation_date",
+    "stg_financial_statements": "period_end_date",
+}
 
 
 def raw_table(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -53,22 +61,47 @@ def register_views(spark: SparkSession, base: str) -> list[str]:
     return sorted(frames)
 
 
+def calendar_span(stg: dict[str, DataFrame]) -> tuple[str, int]:
+    """First day and number of days of a calendar that holds the usual span and every
+    day of the staged data."""
+    first = dt.date.fromisoformat(C.CALENDAR_START)
+    last = first + dt.timedelta(days=C.CALENDAR_ROWS - 1)
+    for view, day in DAYS.items():
+        low, high = stg[view].agg(F.min(day), F.max(day)).first()
+        first, last = min(first, low or first), max(last, high or last)
+    return first.isoformat(), (last - first).days + 1
+
+
+def _watermark(spark: SparkSession, base: str) -> int | None:
+    """The newest load time (epoch nanoseconds) that the price fact has taken in."""
+    stored = tables.read_table(spark, f"{base}/marts/{LOADED}")
+    return None if stored is None else stored.agg(F.max("loaded")).first()[0]
+
+
 def build(
     spark: SparkSession,
     base: str,
     full_refresh: bool = False,
     loaded_after: dt.datetime | None = None,
+    calendar: tuple[str, int] | None = None,
+    scope: str = "upsert",
 ) -> dict[str, int]:
     """Bring every mart up to date with RAW; returns rows written per table.
 
-    Facts take new and changed rows by key. The price fact is refreshed from a
-    bounded piece of history; pass `loaded_after` (the time of the last load) to
-    have late and restated days recomputed too.
+    Facts take new and changed rows by key, however old their days ("upsert"), or only
+    rows newer than their newest day (`scope="global"`). The newest load time taken in
+    is kept beside the price fact after each build, so late and restated days and the
+    history of new tickers arrive on the next one; `loaded_after` overrides it. The
+    calendar spans the data unless `calendar` gives its first day and length.
     """
+    if scope not in ("upsert", "global"):
+        raise ValueError(f"scope is 'upsert' or 'global', not {scope!r}")
     stg = staging_views(spark, base)
     path = lambda name: f"{base}/marts/{name}"
-    written = {"dim_date": tables.build_table(marts.dim_date(spark), path("dim_date"))}
+    spine = marts.dim_date(spark, *(calendar or calendar_span(stg)))
+    written = {"dim_date": tables.build_table(spine, path("dim_date"))}
     prices = raw_table(spark, base, "prices")
+    newest = prices.agg(F.max("extracted_at")).first()[0]
     days = staging.stg_prices(prices, dedupe=False, keep=[])
     written["dim_security"] = tables.build_table(
         marts.dim_security(stg["stg_companies"], days), path("dim_security")
@@ -80,10 +113,12 @@ def build(
     high_water = None if full_refresh else tables.max_date(spark, path("fact_daily_prices"), date)
     if high_water is None:
         returns = marts.int_daily_returns(staging.stg_prices(prices, keep=["close_price", "volume"]))
-    elif loaded_after is None:
+    elif scope == "global":
         returns = incremental.returns_after(prices, high_water)
     else:
-        returns = incremental.returns_changed(prices, high_water, loaded_after)
+        since = loaded_after if loaded_after is not None else _watermark(spark, base)
+        # without a record of earlier loads everything may be new
+        returns = incremental.returns_changed(prices, high_water, -1 if since is None else since)
     facts = {
         "fact_daily_prices": marts.fact_daily_prices(returns, security, calendar),
         "fact_macro_readings": marts.fact_macro_readings(stg["stg_macro_indicators"], calendar),
@@ -99,8 +134,12 @@ def build(
         if target is not None and name != "fact_daily_prices":
             target = target.drop(tables.MONTH)
             if set(target.columns) == set(df.columns):
-                df = incremental_rows(df, target, S.DATE_COLUMN[name], "upsert", S.KEYS[name])
+                values = [c for c in df.columns if c != "extracted_at"]
+                df = incremental_rows(df, target, S.DATE_COLUMN[name], scope, S.KEYS[name], values)
         written[name] = incremental.build_fact(spark, path(name), df, name, full_refresh)
+    if newest is not None:  # only now, so that a build that failed is done again
+        mark = spark.range(1).select(F.lit(newest).cast("long").alias("loaded"))
+        tables.build_table(mark, path(LOADED))
     return written
 
 
@@ -151,6 +190,8 @@ def checks(spark: SparkSession, base: str, as_of: dt.date | str) -> dict[str, Da
         for n in S.KEYS
         if n in t and "ticker" in S.KEYS[n]
     }
+    if "dim_date" in t:
+        out |= {f"days {v}": Q.expect_fk(t[v], t["dim_date"], day, "date_key") for v, day in DAYS.items()}
     if "fact_daily_prices" in t:
         out |= _price_checks(spark, t["fact_daily_prices"], as_of)
     if "fact_fundamentals" in t:

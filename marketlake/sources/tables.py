@@ -42,8 +42,12 @@ def current_version(spark: SparkSession, path: str) -> str | None:
 
 
 def next_version(spark: SparkSession, path: str) -> str:
-    done = _versions(spark, path)
-    return f"{path}/v{int(done[-1][1:]) + 1 if done else 1:05d}"
+    """A number above every folder there, committed or left behind by a dead job, so
+    that no new version is written among files of an old attempt."""
+    fs, root = _fs(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+    used = [int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit()]
+    return f"{path}/v{max(used, default=0) + 1:05d}"
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:
@@ -75,18 +79,25 @@ def counted_write(df: DataFrame, writer_of, path: str) -> int:
 def load(df: DataFrame | None, path: str, overwrite: bool = False) -> int:
     """Land a frame in a RAW table (created from the frame's schema if absent),
     with upper-case names; returns the rows written. An empty frame is refused."""
-    if df is None or df.isEmpty():
+    rows = load_if_any(df, path, overwrite)
+    if rows == 0:
         raise ValueError(f"nothing to load into {path}: the frame is empty")
-    spark = df.sparkSession
-    target = None if overwrite else current_version(spark, path)
-    upper = df.toDF(*[name.upper() for name in df.columns])
-    return counted_write(upper, lambda d: d.write.mode("append"),
-                         target or next_version(spark, path))
+    return rows
 
 
 def load_if_any(df: DataFrame | None, path: str, overwrite: bool = False) -> int:
     """As `load`, but an empty frame is skipped with 0."""
-    return 0 if df is None or df.isEmpty() else load(df, path, overwrite)
+    if df is None:
+        return 0
+    spark = df.sparkSession
+    target = None if overwrite else current_version(spark, path)
+    upper = df.toDF(*[name.upper() for name in df.columns])
+    folder = target or next_version(spark, path)
+    # the frame is evaluated once: by the write, which counts its rows
+    rows = counted_write(upper, lambda d: d.write.mode("append"), folder)
+    if rows == 0 and target is None:
+        delete_folder(spark, folder)
+    return rows
 
 
 def build_table(df: DataFrame, path: str) -> int:

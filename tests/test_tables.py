@@ -219,3 +219,12 @@ def test_checkpoint_folder_is_never_guessed(spark):
         assert checkpoint_dir(spark, "/shared") == "/shared"
         with pytest.raises(ValueError):
             checkpoint_dir(spark)
+
+
+def test_leftovers_of_a_dead_overwrite_never_show(spark, tmp_path):
+    path = str(tmp_path / "t")
+    T.load(spark.range(5).toDF("x"), path)
+    spark.range(3).toDF("X").write.parquet(f"{path}/v00002")
+    (tmp_path / "t" / "v00002" / "_SUCCESS").unlink()
+    assert T.load(spark.range(7).toDF("x"), path, overwrite=True) == 7
+    assert T.read_table(spark, path).count() == 7

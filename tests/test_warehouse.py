@@ -60,7 +60,7 @@ def test_marts_are_queryable(spark, base):
 def test_checks_pass_on_clean_data(spark, base):
     found = {name: df for name, df in WH.checks(spark, base, "2024-02-10").items()}
     assert sum(len(v) for v in WH.NOT_NULL.values()) == 35
-    assert len(found) == 11 + 3 + 3 + 4 + 4 + 5 + 3
+    assert len(found) == 11 + 3 + 3 + 4 + 4 + 5 + 3 + 3
     assert [name for name, df in found.items() if not df.isEmpty()] == []
 
 
@@ -82,6 +82,33 @@ def test_second_build_adds_what_changed(spark, base):
     assert {n: as_set(WH.stored_marts(spark, base)[n], 9) for n in S.KEYS} == kept
 
 
+def test_late_restated_and_new_history_arrives(spark, tmp_path):
+    folder, late = str(tmp_path), 10**13
+    land(spark, folder, "prices", price_rows(["A"], 0, 30, 10**9))
+    land(spark, folder, "company_info", [(t, t, "Tech", None, 1e9, None) for t in ("A", "N")])
+    macro = [("DFF", "Fed", (START + n) * NS_DAY, 5.0, 10**9) for n in range(20)]
+    land(spark, folder, "macro_indicators", macro)
+    WH.build(spark, folder)
+    old = (D(2008, 3, 3) - D(1970, 1, 1)).days
+    rows = [((old + n) * NS_DAY, "N", 50.0 + n, 1.0, 1.0, 1.0, 10, late) for n in range(10)]
+    land(spark, folder, "prices", rows + [((START + 7) * NS_DAY, "A", 222.0, 1.0, 1.0, 1.0, 10, late)])
+    reloaded = [(*r[:4], late) for r in macro] + [("CPI", "Prices", 22_000 * NS_DAY, 1.0, late)]
+    land(spark, folder, "macro_indicators", reloaded, overwrite=True)
+    written = WH.build(spark, folder)
+    marts = WH.stored_marts(spark, folder)
+    assert marts["fact_daily_prices"].where("ticker = 'N'").count() == 9
+    assert marts["fact_daily_prices"].where("close_price = 222").count() == 1
+    assert written["fact_macro_readings"] == 1  # new load times alone change nothing
+    kept = as_set(marts["fact_daily_prices"], 9)
+    assert all(df.isEmpty() for n, df in WH.checks(spark, folder, "2024-02-01").items() if n.startswith("days"))
+    assert WH.build(spark, folder)["fact_daily_prices"] == 0
+    WH.build(spark, folder, full_refresh=True)
+    assert as_set(WH.stored_marts(spark, folder)["fact_daily_prices"], 9) == kept
+    WH.build(spark, folder, full_refresh=True, calendar=("2024-01-01", 366))
+    found = WH.checks(spark, folder, "2024-02-01")
+    assert found["days stg_prices"].count() == 10 and found["days stg_macro_indicators"].count() == 1
+
+
 def test_facts_without_data_are_absent_until_loaded(spark, tmp_path):
     folder = str(tmp_path)
     land(spark, folder, "prices", price_rows(["A"], 0, 5, 10**9))
