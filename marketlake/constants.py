@@ -2,7 +2,6 @@
 
 # Macro series id -> series name.
 MACRO_SERIES = {
-    # interest rates
     "DFF": "Fed Funds Rate",
     "DGS1MO": "1-Month Treasury Yield",
     "DGS3MO": "3-Month Treasury Yield",
@@ -13,13 +12,11 @@ MACRO_SERIES = {
     "DGS7": "7-Year Treasury Yield",
     "DGS10": "10-Year Treasury Yield",
     "DGS30": "30-Year Treasury Yield",
-    # yield curve and real rates
     "T10Y2Y": "10Y-2Y Treasury Spread",
     "T10Y3M": "10Y-3M Treasury Spread",
     "T5YIFR": "5-Year Forward Inflation Rate",
     "DFII5": "5-Year Real Treasury Yield",
     "DFII10": "10-Year Real Treasury Yield",
-    # inflation
     "CPIAUCSL": "CPI All Items",
     "CPILFESL": "Core CPI ex Food Energy",
     "PCEPI": "PCE Price Index",
@@ -27,7 +24,6 @@ MACRO_SERIES = {
     "PPIACO": "Producer Price Index",
     "MICH": "UMich Inflation Expectations",
     "UMCSENT": "Consumer Sentiment Index",
-    # labor market
     "UNRATE": "Unemployment Rate",
     "U6RATE": "U-6 Unemployment Rate",
     "PAYEMS": "Nonfarm Payrolls",
@@ -38,7 +34,6 @@ MACRO_SERIES = {
     "CCSA": "Continuing Jobless Claims",
     "AWHMAN": "Avg Weekly Hours Manufacturing",
     "CES0500000003": "Avg Hourly Earnings",
-    # GDP and growth
     "GDP": "Gross Domestic Product",
     "GDPC1": "Real GDP",
     "GDPCA": "Real GDP Growth Rate",
@@ -49,14 +44,12 @@ MACRO_SERIES = {
     "NEWORDER": "Manufacturing New Orders",
     "ISRATIO": "Inventory to Sales Ratio",
     "MNFCTRIRSA": "Manufacturing Inventories",
-    # consumer
     "RETAILSMNSA": "Retail Sales",
     "RSXFS": "Retail Sales ex Auto",
     "PCE": "Personal Consumption Expenditures",
     "DSPIC96": "Real Disposable Income",
     "PSAVERT": "Personal Savings Rate",
     "TOTALSL": "Total Consumer Credit",
-    # credit and financial conditions
     "BAMLH0A0HYM2": "High Yield Spread",
     "BAMLC0A0CM": "Investment Grade Spread",
     "DAAA": "Moody AAA Corporate Bond Yield",
@@ -65,7 +58,6 @@ MACRO_SERIES = {
     "DRCCLACBS": "Credit Card Delinquency Rate",
     "BUSLOANS": "Commercial Loans",
     "DPSACBW027SBOG": "Bank Deposits",
-    # mortgage and housing
     "MORTGAGE30US": "30-Year Mortgage Rate",
     "MORTGAGE15US": "15-Year Mortgage Rate",
     "HOUST": "Housing Starts",
@@ -78,13 +70,11 @@ MACRO_SERIES = {
     "MSPUS": "Median Home Price",
     "EVACANTUSQ176N": "Homeowner Vacancy Rate",
     "RRVRUSQ156N": "Rental Vacancy Rate",
-    # money supply
     "M1SL": "M1 Money Supply",
     "M2SL": "M2 Money Supply",
     "BOGMBASE": "Monetary Base",
     "AMBSL": "St Louis Adjusted Monetary Base",
     "WRMFSL": "Money Market Funds",
-    # trade and exchange rates
     "BOPTEXP": "Exports",
     "BOPTIMP": "Imports",
     "XTEXVA01USM667S": "Export Value Index",
@@ -97,13 +87,11 @@ MACRO_SERIES = {
     "DEXKOUS": "USD/KRW Exchange Rate",
     "DEXINUS": "USD/INR Exchange Rate",
     "DEXMXUS": "USD/MXN Exchange Rate",
-    # energy and commodities
     "DCOILWTICO": "WTI Crude Oil Price",
     "DCOILBRENTEU": "Brent Crude Oil Price",
     "GASREGCOVW": "Regular Gas Price",
     "DHHNGSP": "Natural Gas Price",
     "APU000072610": "Electricity Price",
-    # market indicators
     "VIXCLS": "CBOE VIX",
     "SP500": "S&P 500 Index",
     "NASDAQCOM": "NASDAQ Composite",
@@ -114,39 +102,63 @@ MACRO_SERIES = {
 
 # Category -> macro series ids.
 MACRO_CATEGORIES = {
-    "Interest Rates": "DFF DGS1MO DGS3MO DGS6MO DGS1 DGS2 DGS5 DGS7 DGS10 DGS30",
-    "Yield Curve & Real": "T10Y2Y T10Y3M T5YIFR DFII5 DFII10",
-    "Inflation": "CPIAUCSL CPILFESL PCEPI PCEPILFE PPIACO MICH UMCSENT",
-    "Labor Market": "UNRATE U6RATE PAYEMS CIVPART JTSJOL JTSHIL ICSA CCSA AWHMAN CES0500000003",
-    "GDP & Growth": "GDP GDPC1 GDPCA INDPRO TCU IPB50001N DGORDER NEWORDER ISRATIO MNFCTRIRSA",
-    "Consumer": "RETAILSMNSA RSXFS PCE DSPIC96 PSAVERT TOTALSL",
-    "Credit & Financial": (
-        "BAMLH0A0HYM2 BAMLC0A0CM DAAA DBAA TEDRATE DRCCLACBS BUSLOANS DPSACBW027SBOG"
-    ),
-    "Housing": (
-        "MORTGAGE30US MORTGAGE15US HOUST HOUST1F PERMIT HSN1F EXHOSLUSM495S MSACSR "
-        "CSUSHPISA MSPUS EVACANTUSQ176N RRVRUSQ156N"
-    ),
-    "Money Supply": "M1SL M2SL BOGMBASE AMBSL WRMFSL",
-    "Trade & FX": (
-        "BOPTEXP BOPTIMP XTEXVA01USM667S DEXUSEU DEXJPUS DEXUSUK DEXCHUS DEXCAUS DEXBZUS "
-        "DEXKOUS DEXINUS DEXMXUS"
-    ),
-    "Energy & Commodities": "DCOILWTICO DCOILBRENTEU GASREGCOVW DHHNGSP APU000072610",
-    "Market Indicators": "VIXCLS SP500 NASDAQCOM DJIA WILL5000PR NIKKEI225",
+    "Interest Rates": [
+        "DFF", "DGS1MO", "DGS3MO", "DGS6MO", "DGS1", "DGS2", "DGS5", "DGS7", "DGS10",
+        "DGS30",
+    ],
+    "Yield Curve & Real": [
+        "T10Y2Y", "T10Y3M", "T5YIFR", "DFII5", "DFII10",
+    ],
+    "Inflation": [
+        "CPIAUCSL", "CPILFESL", "PCEPI", "PCEPILFE", "PPIACO", "MICH", "UMCSENT",
+    ],
+    "Labor Market": [
+        "UNRATE", "U6RATE", "PAYEMS", "CIVPART", "JTSJOL", "JTSHIL", "ICSA", "CCSA",
+        "AWHMAN", "CES0500000003",
+    ],
+    "GDP & Growth": [
+        "GDP", "GDPC1", "GDPCA", "INDPRO", "TCU", "IPB50001N", "DGORDER", "NEWORDER",
+        "ISRATIO", "MNFCTRIRSA",
+    ],
+    "Consumer": [
+        "RETAILSMNSA", "RSXFS", "PCE", "DSPIC96", "PSAVERT", "TOTALSL",
+    ],
+    "Credit & Financial": [
+        "BAMLH0A0HYM2", "BAMLC0A0CM", "DAAA", "DBAA", "TEDRATE", "DRCCLACBS", "BUSLOANS",
+        "DPSACBW027SBOG",
+    ],
+    "Housing": [
+        "MORTGAGE30US", "MORTGAGE15US", "HOUST", "HOUST1F", "PERMIT", "HSN1F",
+        "EXHOSLUSM495S", "MSACSR", "CSUSHPISA", "MSPUS", "EVACANTUSQ176N", "RRVRUSQ156N",
+    ],
+    "Money Supply": [
+        "M1SL", "M2SL", "BOGMBASE", "AMBSL", "WRMFSL",
+    ],
+    "Trade & FX": [
+        "BOPTEXP", "BOPTIMP", "XTEXVA01USM667S", "DEXUSEU", "DEXJPUS", "DEXUSUK", "DEXCHUS",
+        "DEXCAUS", "DEXBZUS", "DEXKOUS", "DEXINUS", "DEXMXUS",
+    ],
+    "Energy & Commodities": [
+        "DCOILWTICO", "DCOILBRENTEU", "GASREGCOVW", "DHHNGSP", "APU000072610",
+    ],
+    "Market Indicators": [
+        "VIXCLS", "SP500", "NASDAQCOM", "DJIA", "WILL5000PR", "NIKKEI225",
+    ],
 }
 
 # Fund symbols, which have no financial statements.
-ETF_SYMBOLS = (
-    "SPY IVV VOO QQQ VTI IWM IWF IWD IWB ITOT SCHB VV MGC SPTM SCHX "
-    "BND AGG TLT IEF SHY LQD HYG JNK MUB VCIT VCSH BSV BIV BLV GOVT "
-    "VEA VWO EFA EEM IEFA IEMG VGK VPL EWJ EWZ EWC EWG EWU EWA EWH "
-    "XLF XLK XLV XLE XLI XLY XLP XLU XLB XLRE VNQ IYR KRE XBI IBB "
-    "GLD IAU SLV USO UNG DBC PDBC CORN WEAT SOYB CPER PALL PPLT BAR SGOL "
-    "MTUM USMV VLUE QUAL SIZE VIG DVY SDY NOBL DGRO VYM HDV SCHD SPYD FVD "
-    "TQQQ SQQQ UPRO SPXU SSO SDS TNA TZA "
-    "ARKK ARKW ARKG ARKF ARKQ BOTZ ROBO ICLN QCLN CNRG AIQ HACK BUG CIBR WCLD"
-).split()
+ETF_SYMBOLS = [
+    "SPY", "IVV", "VOO", "QQQ", "VTI", "IWM", "IWF", "IWD", "IWB", "ITOT", "SCHB", "VV",
+    "MGC", "SPTM", "SCHX", "BND", "AGG", "TLT", "IEF", "SHY", "LQD", "HYG", "JNK", "MUB",
+    "VCIT", "VCSH", "BSV", "BIV", "BLV", "GOVT", "VEA", "VWO", "EFA", "EEM", "IEFA", "IEMG",
+    "VGK", "VPL", "EWJ", "EWZ", "EWC", "EWG", "EWU", "EWA", "EWH", "XLF", "XLK", "XLV",
+    "XLE", "XLI", "XLY", "XLP", "XLU", "XLB", "XLRE", "VNQ", "IYR", "KRE", "XBI", "IBB",
+    "GLD", "IAU", "SLV", "USO", "UNG", "DBC", "PDBC", "CORN", "WEAT", "SOYB", "CPER",
+    "PALL", "PPLT", "BAR", "SGOL", "MTUM", "USMV", "VLUE", "QUAL", "SIZE", "VIG", "DVY",
+    "SDY", "NOBL", "DGRO", "VYM", "HDV", "SCHD", "SPYD", "FVD", "TQQQ", "SQQQ", "UPRO",
+    "SPXU", "SSO", "SDS", "TNA", "TZA", "ARKK", "ARKW", "ARKG", "ARKF", "ARKQ", "BOTZ",
+    "ROBO", "ICLN", "QCLN", "CNRG", "AIQ", "HACK", "BUG", "CIBR", "WCLD",
+]
 
 # RAW valuation field -> column name, ratios first.
 VALUATION_RATIOS = {

@@ -27,7 +27,7 @@ def macro_names(spark: SparkSession) -> DataFrame:
 
 
 def macro_categories(spark: SparkSession) -> DataFrame:
-    rows = [(s, cat) for cat, ids in C.MACRO_CATEGORIES.items() for s in ids.split()]
+    rows = [(s, cat) for cat, ids in C.MACRO_CATEGORIES.items() for s in ids]
     return values_df(spark, rows, "series_id string, category string")
 
 

@@ -160,7 +160,7 @@ CTES = {
                    CASE event_type {_SERIES_CASE} END AS series_id FROM events)""",
     "names": f"SELECT * FROM (VALUES {_values(C.MACRO_SERIES.items())}) t(series_id, name)",
     "categories": "SELECT * FROM (VALUES "
-    + _values((s, cat) for cat, ids in C.MACRO_CATEGORIES.items() for s in ids.split())
+    + _values((s, cat) for cat, ids in C.MACRO_CATEGORIES.items() for s in ids)
     + ") t(series_id, category)",
     "raw_macro": """
       SELECT series_id, coalesce(name, series_id) AS series_name, day AS observation_date,

@@ -27,7 +27,7 @@ def one(df):
 
 def test_constants_have_the_known_sizes():
     assert len(C.MACRO_SERIES) == 96
-    assert {s for ids in C.MACRO_CATEGORIES.values() for s in ids.split()} == set(C.MACRO_SERIES)
+    assert {s for ids in C.MACRO_CATEGORIES.values() for s in ids} == set(C.MACRO_SERIES)
     assert len(C.MACRO_CATEGORIES) == 12
     assert len(set(C.ETF_SYMBOLS)) == 113
     assert len(C.VALUATION_FIELDS) == 35
