@@ -249,8 +249,8 @@ def join(docs: DataFrame) -> DataFrame:
     star = stored(_verified(sides.where(enough(bound, F.col("na"), F.col("nb"))), sets), "links")
 
     links, nearest = star.union(_shared_ids(full, classes)), NEAREST
+    found = components(links)
     while True:
-        found = components(links)
         at = shared.select("key", "v").join(found.withColumnRenamed("component", "found"), "v", "left")
         at = at.select("key", "v", F.coalesce("found", "v").alias("label"))
         several = at.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
@@ -258,9 +258,10 @@ def join(docs: DataFrame) -> DataFrame:
         pairs = _searched(_leaf_pairs(mixed.select("key", "v", "n", "label", "counts")), nearest)
         more = stored(_verified(pairs, sets), "links")
         some = not more.isEmpty()
-        links = links.union(more)
+        if some:
+            links = links.union(more)
+            found = components(links)
         if nearest is None:
-            found = components(links) if some else found
             break
         if not some:
             nearest = None
