@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _own: dict[str, str] = {}
 
 
@@ -33,7 +35,18 @@ def folder(spark: SparkSession, name: str) -> str:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: later steps neither repeat
-    its work nor depend on the executors that did it."""
-    path = folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    its work nor depend on the executors that did it. The shuffle files of the write go
+    when it ends, since what is read later is the table; the session's own setting for
+    that is put back."""
+    spark = df.sparkSession
+    path = folder(spark, name)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
