@@ -7,7 +7,13 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: settings of the session while a table is written: shuffle files go when the write
+#: ends, since what is read later is the table, and Python workers get whole texts in
+#: batches of few megabytes
+WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
+}
 
 _own: dict[str, str] = {}
 
@@ -35,18 +41,19 @@ def folder(spark: SparkSession, name: str) -> str:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: later steps neither repeat
-    its work nor depend on the executors that did it. The shuffle files of the write go
-    when it ends, since what is read later is the table; the session's own setting for
-    that is put back."""
+    its work nor depend on the executors that did it. The session's own values of the
+    settings in `WRITING` are put back."""
     spark = df.sparkSession
     path = folder(spark, name)
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+    before = {key: spark.conf.get(key, None) for key in WRITING}
+    for key, value in WRITING.items():
+        spark.conf.set(key, value)
     try:
         df.write.parquet(path)
     finally:
-        if before is None:
-            spark.conf.unset(CLEANUP)
-        else:
-            spark.conf.set(CLEANUP, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(path)
