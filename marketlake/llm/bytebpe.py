@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from marketlake.llm.arrow import add_columns
 
 #: segments a worker remembers, twice over
-MEMO = 200_000
+MEMO = 100_000
 MEMO_CHARS = 48
 _WHITE = "\\x09-\\x0d \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
