@@ -3,7 +3,8 @@
 Words are tagged toxic or not; a word's potential is learned for each word of the
 sample, with one for all others, and so are the moves between the two tags. Token labels
 come from document labels: in toxic documents of the sample, words that occur in many
-more of them than of the others are labelled toxic. Forward and backward passes run over
+more of them than of the others are labelled toxic. That is counted over the sample and
+in groups of like documents, so that words of a smaller language count too. Forward and backward passes run over
 all documents of a batch at once, one position after another; with two tags the ratio of
 their weights is all that is carried. A document's score is a logistic function of the
 expected number of toxic words and of the greatest marginal; its spans are the words of
@@ -23,6 +24,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 from itertools import repeat
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake.llm.arrow import slices
+from marketlake.llm.langid import features
 
 ROWS, CHARS = 700, 20_000
 EPOCHS = 40
@@ -39,6 +42,10 @@ THRESHOLD = 0.3
 #: documents of a batch whose positions are stepped through together
 BATCH = 2048
 LIMIT = 25.0
+#: cosine to a group's mean that a document needs to join it, and documents of a group
+LIKE, GROUP = 0.55, 20
+#: greatest chance that a word of the lexicon is in so many toxic documents if it marks none
+CHANCE = 0.002
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -144,15 +151,54 @@ def _distinct(docs: list[list[str]]) -> list[int]:
     return kept
 
 
+def _alike(docs: list[list[str]]) -> np.ndarray:
+    """A group for each document, by byte n-grams: a document joins the group whose mean
+    is nearest if the cosine is `LIKE` or more, the longest first, and else starts one.
+    What is in a group of less than `GROUP` goes to the nearest larger one."""
+    x = np.stack([features(" ".join(d)) for d in docs])
+    sums = np.empty_like(x)
+    sizes, group = [], np.zeros(len(x), dtype=np.int64)
+    for i in np.argsort([-len(d) for d in docs], kind="stable"):
+        near = sums[: len(sizes)] @ x[i] / np.maximum(np.linalg.norm(sums[: len(sizes)], axis=1), 1e-9)
+        k = int(near.argmax()) if len(sizes) else 0
+        if not len(sizes) or near[k] < LIKE:
+            k = len(sizes)
+            sizes.append(0)
+            sums[k] = 0
+        sums[k] += x[i]
+        sizes[k] += 1
+        group[i] = k
+    large = np.flatnonzero(np.array(sizes) >= GROUP)
+    if not len(large):
+        return np.zeros(len(x), dtype=np.int64)
+    means = sums[large] / np.maximum(np.linalg.norm(sums[large], axis=1, keepdims=True), 1e-9)
+    return np.where(np.isin(group, large), group, large[(x @ means.T).argmax(axis=1)])
+
+
 def _lexicon(docs: list[list[str]], toxic: np.ndarray) -> set[str]:
-    """Words in at least 3 % of toxic documents, and in 20 times more of them than others."""
+    """Words in at least 3 % of the toxic documents of all, or of a group of like ones,
+    and there in 20 times more of them than of others, and not by chance."""
+    group = _alike(docs)
+    found = set()
+    for own in [np.ones(len(docs), dtype=bool), *(group == g for g in np.unique(group))]:
+        found |= _frequent([docs[i] for i in np.flatnonzero(own)], toxic[own])
+    return found
+
+
+def _frequent(docs: list[list[str]], toxic: np.ndarray) -> set[str]:
     counts: dict[str, list[int]] = {}
     for doc, label in zip(docs, toxic):
         for w in set(doc):
             counts.setdefault(w, [0, 0])[int(label)] += 1
     bad, good = max(1, int(toxic.sum())), max(1, int((1 - toxic).sum()))
-    least = max(5, 0.03 * bad)
-    return {w for w, (n, t) in counts.items() if t >= least and t / bad >= 20 * (n + 0.5) / good}
+    rate, least = bad / (bad + good), max(3, 0.03 * bad)
+    likely = {w: (n, t) for w, (n, t) in counts.items() if t >= least and t / bad >= 20 * (n + 0.5) / good}
+    return {w for w, (n, t) in likely.items() if _tail(t, n + t, rate) <= CHANCE}
+
+
+def _tail(least: int, n: int, rate: float) -> float:
+    """Chance that `least` or more of n draws are toxic."""
+    return sum(comb(n, k) * rate**k * (1 - rate) ** (n - k) for k in range(least, n + 1))
 
 
 def _learn(docs: list[list[str]], toxic: np.ndarray) -> Model:

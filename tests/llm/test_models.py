@@ -185,3 +185,12 @@ def test_pipeline(spark):
         docs = after
     packed = corpus_pipeline.run(spark, SF)
     assert packed.select("doc_id").distinct().count() == docs.count()
+
+
+def test_toxic_words_of_a_smaller_language_count():
+    docs = [frames.prose(i, 60) + (" vilething." if i % 3 == 0 else " ok.") for i in range(900)]
+    docs += [frames.prose(i, 60, "fr") + (" méchant." if i % 3 == 0 else " bien.") for i in range(900, 921)]
+    toxic = [int(i % 3 == 0) for i in range(len(docs))]
+    model = toxicity.fit(docs, toxic, 1 / 3)
+    evidence, _, _ = model.evidence([toxicity.words(t) for t in docs[900:]])
+    assert (model.scores(evidence) >= toxicity.THRESHOLD).tolist() == [bool(t) for t in toxic[900:]]
