@@ -7,7 +7,8 @@ blanks) a chunk ends. Boundaries depend on those bytes alone, so an insertion sh
 nothing beyond them and equal passages have equal chunks inside. Chunks are compared by
 digest over all documents; the occurrence in the document with the smallest id stays,
 and in it the first. Single short chunks repeat by chance, so only runs of repeated
-chunks with `MIN_WORDS` words or more are removed.
+chunks with `MIN_WORDS` words or more are removed, or with `MIN_LONG` characters of
+three or more bytes, as scripts without blanks have no words to count.
 
 Null texts stay null, empty texts empty; texts without repeats stay as they are. Rows
 that share an id count as one document and keep their common passages; a null id counts
@@ -26,6 +27,9 @@ from pyspark.sql import types as T
 from marketlake.llm.arrow import add_columns, lists_of, slices
 
 MIN_WORDS = 15
+#: characters of three or more bytes that count as one word
+LONG_A_WORD = 4
+MIN_LONG = MIN_WORDS * LONG_A_WORD
 #: one blank in so many ends a chunk; and one long character
 EVERY, EVERY_CHAR = 5, 12
 MOST = 2048
@@ -88,6 +92,12 @@ def _digests(docs: DataFrame) -> DataFrame:
     return made.select("id", F.explode("digests").alias("digest"))
 
 
+def _enough(data: bytes, words: int, least: int) -> bool:
+    if words >= least:
+        return True
+    return int((np.frombuffer(data, dtype=np.uint8) >= 0xE0).sum()) >= least * LONG_A_WORD
+
+
 def cleaned(text: str, repeated: set[int], least: int = MIN_WORDS) -> tuple[str, list[tuple[int, int]], int, int]:
     """The text without repeated runs, their offsets in it before, chunks, words removed."""
     data = text.encode("utf-8", "replace")
@@ -101,7 +111,7 @@ def cleaned(text: str, repeated: set[int], least: int = MIN_WORDS) -> tuple[str,
         if start is not None and (not again or i == len(ends) - 1):
             runs.append((start, ends[i] if again else ends[i - 1]))
             start = None
-    runs = [(a, b, n) for a, b in runs if (n := len(data[a:b].split())) >= least]
+    runs = [(a, b, n) for a, b in runs if _enough(data[a:b], n := len(data[a:b].split()), least)]
     if not runs:
         return text, [], len(ends), 0
     kept, spans, before, at = [], [], 0, 0

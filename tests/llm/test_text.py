@@ -158,3 +158,14 @@ def test_stage_keeps_columns(spark):
     docs = frames.docs(spark)
     assert substrings.without_repeats(docs).columns == docs.columns
     assert substrings.without_repeats(docs.limit(0)).count() == 0
+
+
+def test_passages_without_blanks_are_removed(spark):
+    r = random.Random(5)
+    signs = lambda n: "".join(chr(r.randint(0x4E00, 0x9FA5)) for _ in range(n))
+    passage, own = signs(400), [signs(200) for _ in range(4)]
+    texts = [own[0] + passage + own[1], own[2] + passage + own[3], own[0] + passage + own[1], signs(300)]
+    got = {r["doc_id"]: r["text"] for r in substrings.report(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got[0] == texts[0] and got[2] == "" and got[3] == texts[3]
+    assert got[1].startswith(own[2]) and got[1].endswith(own[3]) and len(got[1]) < 500
