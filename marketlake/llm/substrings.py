@@ -4,10 +4,13 @@ A gear hash rolls over the bytes of a text: at each byte the hash of the byte is
 to twice the hash before, so in 16 bits it knows the last 16 bytes. Where it falls below
 a bound after a blank (or before a character of three or more bytes, for scripts without
 blanks) a chunk ends. Boundaries depend on those bytes alone, so an insertion shifts
-nothing beyond them and equal passages have equal chunks inside. Chunks are compared by
-digest over all documents; the occurrence in the document with the smallest id stays,
-and in it the first. Single short chunks repeat by chance, so only runs of repeated
-chunks with `MIN_WORDS` words or more are removed, or with `MIN_LONG` characters of
+nothing beyond them and equal passages have equal chunks inside. Single short chunks
+repeat by chance, so what is compared by digest over all documents are sequences of
+consecutive chunks: from each chunk on the shortest that holds `WINDOW` words (or as many
+characters as stand for them), and up to each chunk likewise. The occurrence in the
+document with the smallest id stays, and in it the first (others of it that do not
+overlap that one are repeats). A chunk is repeated if a repeated sequence holds it; only
+runs of repeated chunks with `MIN_WORDS` words or more are removed, or with `MIN_LONG` characters of
 three or more bytes, as scripts without blanks have no words to count.
 
 Null texts stay null, empty texts empty; texts without repeats stay as they are. Rows
@@ -30,6 +33,8 @@ MIN_WORDS = 15
 #: characters of three or more bytes that count as one word
 LONG_A_WORD = 4
 MIN_LONG = MIN_WORDS * LONG_A_WORD
+#: words of a sequence that is compared
+WINDOW = 8
 #: one blank in so many ends a chunk; and one long character
 EVERY, EVERY_CHAR = 5, 12
 MOST = 2048
@@ -79,11 +84,40 @@ def chunks(data: bytes) -> tuple[list[int], np.ndarray]:
     return ends, np.fromiter(made, np.uint64, len(ends)).view(np.int64)
 
 
+def sequences(data: bytes) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray]:
+    """Ends of the chunks; of each sequence its first chunk, the one after its last, and
+    its digest. By first chunk, shorter ones first."""
+    ends = boundaries(data)
+    at = np.array([0, *ends])
+    b = np.frombuffer(data, dtype=np.uint8)
+    solid = ~_BLANK[b]
+    starts = solid.copy()
+    starts[1:] &= ~solid[:-1]
+    starts[at[:-1]] = solid[at[:-1]]  # a word that a chunk's end cuts counts in both
+    upto = np.zeros((2, len(at)), dtype=np.int64)
+    for row, marks in zip(upto, (starts, b >= 0xE0)):
+        row[:] = np.concatenate([[0], np.cumsum(marks)])[at]
+    need = np.array([[WINDOW], [WINDOW * LONG_A_WORD]])
+    n = len(ends)
+    first = np.arange(n)
+    # the least end that holds enough of either kind, and the greatest start
+    stop = np.minimum(*(np.searchsorted(u, u[:-1] + k) for u, k in zip(upto, need[:, 0])))
+    start = np.maximum(*(np.searchsorted(u, u[1:] - k, side="right") - 1 for u, k in zip(upto, need[:, 0])))
+    ahead, back = stop <= n, start >= 0
+    pairs = np.concatenate([
+        np.stack([first[ahead], stop[ahead]], axis=1), np.stack([start[back], first[back] + 1], axis=1)
+    ])
+    keys = np.unique(pairs[:, 0] * (n + 1) + pairs[:, 1])
+    first, stop = keys // (n + 1), keys % (n + 1)
+    made = map(xxhash.xxh3_64_intdigest, (data[a:b] for a, b in zip(at[first].tolist(), at[stop].tolist())))
+    return ends, first, stop, np.fromiter(made, np.uint64, len(first)).view(np.int64)
+
+
 def _digests(docs: DataFrame) -> DataFrame:
     """(id, digest), once for each document and digest."""
 
     def columns(texts: pa.Array) -> list[pa.Array]:
-        found = [np.unique(chunks((t or "").encode("utf-8", "replace"))[1]) for t in texts.to_pylist()]
+        found = [np.unique(sequences((t or "").encode("utf-8", "replace"))[3]) for t in texts.to_pylist()]
         return [lists_of(found, pa.int64())]
 
     narrow = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"), "text")
@@ -101,16 +135,15 @@ def _enough(data: bytes, words: int, least: int) -> bool:
 def cleaned(text: str, repeated: set[int], least: int = MIN_WORDS) -> tuple[str, list[tuple[int, int]], int, int]:
     """The text without repeated runs, their offsets in it before, chunks, words removed."""
     data = text.encode("utf-8", "replace")
-    ends, found = chunks(data)
-    seen, runs, start = set(), [], None
-    for i, digest in enumerate(found.tolist()):
-        again = digest in repeated or digest in seen
-        seen.add(digest)
-        if again and start is None:
-            start = ends[i - 1] if i else 0
-        if start is not None and (not again or i == len(ends) - 1):
-            runs.append((start, ends[i] if again else ends[i - 1]))
-            start = None
+    ends, first, stop, found = sequences(data)
+    stopped, again = {}, np.zeros(len(ends) + 1, dtype=np.int64)
+    for a, b, digest in zip(first.tolist(), stop.tolist(), found.tolist()):
+        if digest in repeated or a >= stopped.setdefault(digest, b):
+            again[a] += 1
+            again[b] -= 1
+    edges = np.flatnonzero(np.diff(np.cumsum(again) > 0, prepend=False)).tolist()
+    at = [0, *ends]
+    runs = [(at[a], at[b]) for a, b in zip(edges[::2], edges[1::2])]
     runs = [(a, b, n) for a, b in runs if _enough(data[a:b], n := len(data[a:b].split()), least)]
     if not runs:
         return text, [], len(ends), 0

@@ -169,3 +169,20 @@ def test_passages_without_blanks_are_removed(spark):
         spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     assert got[0] == texts[0] and got[2] == "" and got[3] == texts[3]
     assert got[1].startswith(own[2]) and got[1].endswith(own[3]) and len(got[1]) < 500
+
+
+def test_repeats_within_a_text():
+    passage, other = frames.prose(31, 40), frames.prose(32, 300)
+    twice = f"{other}\n{passage}\n{frames.prose(33, 30)}\n{passage}\n{frames.prose(34, 30)}"
+    text, spans, _, removed = substrings.cleaned(twice, set())
+    assert text.startswith(f"{other}\n{passage}\n") and len(spans) == 1 and 24 <= removed <= 40
+    known = set(substrings.sequences(passage.encode())[3].tolist())
+    assert substrings.cleaned(passage, known)[0] == ""
+
+
+def test_clean_texts_of_common_words_stay(spark):
+    r = random.Random(9)
+    stock = [frames.prose(i, 1) for i in range(12)]
+    texts = [" ".join(r.choice(stock) for _ in range(200)) for _ in range(300)]
+    rows = substrings.report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["text"] for r in rows} == dict(enumerate(texts))
