@@ -27,6 +27,9 @@ from marketlake.llm.arrow import add_columns
 #: segments a worker remembers, twice over
 MEMO = 100_000
 MEMO_CHARS = 48
+#: characters of a segment from which the tokenizer itself encodes: the rank encoder's
+#: matcher fails on a million blanks in a row
+LONG_SEGMENT = 100_000
 _WHITE = "\\x09-\\x0d \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 _SEGMENTS = re.compile(
@@ -104,10 +107,14 @@ class Encoder:
         made = self.tokenizer.encode(text, add_special_tokens=False).ids
         return array("I", made).tobytes()
 
+    def _blank_run(self, segment: str) -> bool:
+        """Whether it begins with a very long run of white space (none is elsewhere)."""
+        return len(segment) > LONG_SEGMENT and not segment[:LONG_SEGMENT].strip()
+
     def _learn(self, segment: str) -> bytes:
         ids = self.known.get(segment) or self.older.get(segment)
         if ids is None:
-            if self.ranked is None:
+            if self.ranked is None or self._blank_run(segment):
                 ids = self._encode(segment)
             else:
                 ids = array("I", self.ranked.encode_ordinary(segment)).tobytes()

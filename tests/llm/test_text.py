@@ -186,3 +186,9 @@ def test_clean_texts_of_common_words_stay(spark):
     texts = [" ".join(r.choice(stock) for _ in range(200)) for _ in range(300)]
     rows = substrings.report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert {r["doc_id"]: r["text"] for r in rows} == dict(enumerate(texts))
+
+
+def test_very_long_white_space():
+    library, own = Tokenizer.from_file(BYTES), bytebpe.Encoder(BYTES, True)
+    for text in ("a" + " " * 1_100_000 + "b", "\n" * 1_100_000, "\x1c" * 1_100_000, "\x85" * 1_100_000 + "x"):
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
