@@ -6,9 +6,10 @@ leave-one-out margins come for free). A text gets the language whose codeword ha
 least loss over the bits, each bit weighted by how well it was predicted when left out;
 a small lead over the next codeword marks the text as ambiguous.
 
-Classifiers are fitted on a bounded sample: at most `ROWS` texts in all, spread evenly
-over the `LANGUAGES` most frequent languages and chosen by a hash of their id among
-those of up to `CHARS` characters. Everything else reads all rows and whole texts. A
+Classifiers are fitted on a sample of every language: about `ROWS` texts in all, spread
+evenly, or about `EACH` a language where these are more, chosen by a hash of their id
+among those of up to `CHARS` characters. A language that has only longer texts is learned
+from as many characters of theirs. Everything else reads all rows and whole texts. A
 text that is null or has no letters is `und` with score 0, and so is every text if
 nothing could be learned. Repeated rows are treated each for itself.
 """
@@ -27,7 +28,7 @@ from pyspark.sql import types as T
 from marketlake.llm.arrow import add_columns
 
 UNKNOWN = "und"
-ROWS, LANGUAGES, CHARS = 2_000, 100, 20_000
+ROWS, EACH, CHARS = 2_000, 4, 20_000
 WIDTH = 1 << 13
 RIDGE = 0.1
 #: a lead below this is ambiguous
@@ -71,10 +72,13 @@ def codewords(n: int) -> np.ndarray:
         return np.array([s for s in splits if -1 in s], dtype=float).T
     random, bits = np.random.default_rng(7), int(np.ceil(12 * np.log2(n)))
     best, least = None, -1
-    for _ in range(50):
+    for _ in range(50 if n <= 200 else 3):
         code = random.choice([-1.0, 1.0], size=(n, bits))
         code = code[:, np.abs(code.sum(axis=0)) < n]
-        apart = ((code.shape[1] - code @ code.T) / 2 + np.eye(n) * bits).min()
+        apart = min(
+            ((code.shape[1] - code[a : a + 256] @ code.T) / 2 + np.eye(len(code[a : a + 256]), n, a) * bits).min()
+            for a in range(0, n, 256)
+        )
         if apart > least:
             best, least = code, apart
     return best
@@ -100,26 +104,49 @@ class Model:
         return x / x.sum(axis=1, keepdims=True)
 
 
+def _by_text(texts: list[str], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and margins when left out, from the products of texts."""
+    x = np.stack([features(t) for t in texts])
+    inverse = np.linalg.inv((x @ x.T).astype(np.float64) + RIDGE * np.eye(len(x)))
+    dual = inverse @ y
+    return (x.T @ dual).astype(np.float32), y - dual / np.diag(inverse)[:, None]
+
+
+def _by_feature(texts: list[str], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same from the products of features, for many texts, some at a time."""
+    gram, right = RIDGE * np.eye(WIDTH, dtype=np.float32), np.zeros((WIDTH, y.shape[1]), dtype=np.float32)
+    parts = [slice(a, a + 512) for a in range(0, len(texts), 512)]
+    for part in parts:
+        x = np.stack([features(t) for t in texts[part]])
+        gram += x.T @ x
+        right += x.T @ y[part].astype(np.float32)
+    inverse = np.linalg.inv(gram)
+    weights, left_out = inverse @ right, np.empty(y.shape)
+    for part in parts:
+        x = np.stack([features(t) for t in texts[part]])
+        own = np.maximum(1 - ((x @ inverse) * x).sum(axis=1), 1e-3)
+        left_out[part] = y[part] - (y[part] - x @ weights) / own[:, None]
+    return weights, left_out
+
+
 def fit(texts: list[str], langs: list[str]) -> Model | None:
     """None if there is nothing to learn from."""
     languages = sorted(set(langs))
     if not languages:
         return None
     code = codewords(len(languages))
-    x = np.stack([features(t) for t in texts])
-    index = np.array([languages.index(g) for g in langs])
+    number = {g: i for i, g in enumerate(languages)}
+    index = np.array([number[g] for g in langs])
     y = code[index]
-    inverse = np.linalg.inv((x @ x.T).astype(np.float64) + RIDGE * np.eye(len(x)))
-    dual = inverse @ y
-    left_out = y - dual / np.diag(inverse)[:, None]
+    weights, left_out = (_by_text if len(texts) <= 2 * ROWS else _by_feature)(texts, y)
     error = np.clip((left_out * y <= 0).mean(axis=0), 0.001, 0.499)
     trust = np.log((1 - error) / error)
     trust = trust / max(trust.sum(), 1e-9)
-    model = Model(languages, code, (x.T @ dual).astype(np.float32), trust, 1.0)
+    model = Model(languages, code, weights, trust, 1.0)
 
     def fitness(sharpness: float) -> float:
         model.sharpness = sharpness
-        chance = model.chances(left_out)[np.arange(len(x)), index]
+        chance = model.chances(left_out)[np.arange(len(y)), index]
         return float(np.log(np.maximum(chance, 1e-6)).mean())
 
     model.sharpness = max((1.0, 2.0, 4.0, 8.0, 16.0, 32.0), key=fitness)
@@ -132,18 +159,22 @@ def held_out() -> Column:
 
 def train(docs: DataFrame) -> Model | None:
     """Fit on the rows that are not held out."""
+    key = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")), F.lit(3)), F.lit(1_000_000))
     usable = docs.where(~F.coalesce(held_out(), F.lit(False))).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}")
-        & (F.length("text") <= CHARS)
-    )
-    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    rows = counts.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    if not rows:
+    ).select("lang", "text", key.alias("key"), (F.length("text") > CHARS).alias("long"))
+    counts = usable.groupBy("lang", "long").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("least")).collect()
+    if not counts:
         return None
-    most = ROWS // len(rows)
-    share = F.create_map(*(F.lit(v) for r in rows for v in (r["lang"], min(1.0, most / r["n"]))))
-    drawn = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(3)), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000
-    sample = usable.where(drawn).select("lang", "text").limit(2 * ROWS).collect()
+    short = {r["lang"] for r in counts if not r["long"]}
+    rows = [r for r in counts if not r["long"] or r["lang"] not in short]
+    most = max(EACH, ROWS // len(rows))
+    wanted = docs.sparkSession.createDataFrame(
+        [(r["lang"], r["long"], min(1.0, most / r["n"]) * 1_000_000, r["least"]) for r in rows],
+        "lang string, long boolean, share double, least long",
+    )
+    drawn = usable.join(F.broadcast(wanted), ["lang", "long"]).where("key < share or key = least")
+    sample = drawn.select("lang", F.left("text", F.lit(CHARS)).alias("text")).limit(4 * most * len(rows)).collect()
     sample.sort()
     return fit([r["text"] for r in sample], [r["lang"] for r in sample])
 
