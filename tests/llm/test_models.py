@@ -2,7 +2,6 @@
 
 import os
 import re
-import zlib
 
 import numpy as np
 import pytest
@@ -195,18 +194,3 @@ def test_toxic_words_of_a_smaller_language_count():
     model = toxicity.fit(docs, toxic, 1 / 3)
     evidence, _, _ = model.evidence([toxicity.words(t) for t in docs[900:]])
     assert (model.scores(evidence) >= toxicity.THRESHOLD).tolist() == [bool(t) for t in toxic[900:]]
-
-
-def test_every_language_is_learned(spark):
-    rows = [(i * 1000 + k, frames.prose(k, 30), f"l{i:03}") for i in range(105) for k in range(3 if i > 100 else 4)]
-    rows += [(900_000 + k, frames.prose(k, 6000, "fr"), "long") for k in range(6)]
-    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
-    assert model.languages == sorted({g for i, _, g in rows if zlib.crc32(str(i).encode()) % 3 != 1})
-
-
-def test_weights_by_feature_equal_those_by_text(monkeypatch):
-    monkeypatch.setattr(langid, "WIDTH", 512)
-    texts = [frames.prose(i, 60, ["en", "fr"][i % 2]) for i in range(40)]
-    y = langid.codewords(2)[np.arange(40) % 2]
-    for a, b in zip(langid._by_text(texts, y), langid._by_feature(texts, y)):
-        assert np.allclose(a, b, atol=0.01)
