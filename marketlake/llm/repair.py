@@ -161,6 +161,11 @@ def digest() -> Column:
     return F.unhex(F.md5(whole.cast("binary")))
 
 
+def row_key(hashed: Column) -> Column:
+    """16 bytes for a conversation, turn (nulls are values) and digest."""
+    return F.unhex(F.md5(F.concat(F.to_json(F.struct("conv_id", "turn")).cast("binary"), hashed)))
+
+
 def lettered(rows: DataFrame) -> DataFrame:
     """One narrow row for equal rows of a conversation and turn: (conv_id, turn, digest,
     n, letters), one letter for each of n copies. Rows of `copies` 0 only name their
@@ -308,14 +313,12 @@ def repair(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     edit, role, text) of `rows` (conv_id, turn, role, text, copies)."""
     strung = stored(blocks(lettered(rows)), "blocks")
     found = stored(walked(strung), "audits")
-    # equal rows of a turn have one text
-    texts = rows.where("copies > 0").select(
-        F.col("conv_id").alias("c"), F.col("turn").alias("t"), digest().alias("d"), "role", "text",
-    ).dropDuplicates(["c", "t", "d"])
-    chosen = edits(strung, found)
-    same = (F.col("conv_id").eqNullSafe(F.col("c")) & F.col("turn").eqNullSafe(F.col("t"))
-            & (F.col("digest") == F.col("d")))
-    repaired = chosen.join(texts, same, "left").select(
+    # equal rows of a turn have one text; one shuffle serves the grouping and the join
+    texts = rows.where("copies > 0").select(row_key(digest()).alias("key"), "role", "text").dropDuplicates(["key"])
+    # inserted rows find no text; keys of their own keep them apart
+    place = F.concat(F.lit("inserted").cast("binary"), F.col("at").cast("string").cast("binary"))
+    chosen = edits(strung, found).withColumn("key", row_key(F.coalesce("digest", place)))
+    repaired = chosen.join(texts, "key", "left").select(
         "conv_id", "at", "edit", F.coalesce("new_role", "role").alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
