@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,8 @@ from marketlake.functions.scalar import NS_PER_DAY
 from marketlake.operators.merge import merge_by_key, sync_columns
 from marketlake.plans.marts import int_daily_returns
 from marketlake.plans.staging import stg_prices
-from marketlake.sources import tables
+from marketlake.sources import published, tables
+from marketlake.sources.published import Conflict, Listing
 
 LOOK_BACK_ROWS = C.TRADING_DAYS - 1
 LOOK_BACK_DAYS = 400
@@ -77,27 +79,40 @@ def returns_changed(
 
 
 def build_fact(
-    spark: SparkSession, path: str, df: DataFrame, name: str, full_refresh: bool = False
+    spark: SparkSession,
+    path: str,
+    df: DataFrame,
+    name: str,
+    full_refresh: bool = False,
+    side: dict[str, str] | None = None,
 ) -> int:
     """Bring a stored fact up to date with `df`; returns the rows of `df` written.
 
-    No table yet, or `full_refresh`: a new version from `df` alone, as it is (its keys
-    are unique by how the facts are built; `expect_key` checks them). Otherwise `df`
-    is merged by the fact's key, and only the months it touches are rewritten. If
-    the columns changed, the merged table becomes a new version instead.
+    No table yet, or `full_refresh`: `df` alone, as it is (its keys are unique by how the
+    facts are built; `expect_key` checks them). Otherwise `df` is merged by the fact's
+    key: the months it touches are written anew beside the old ones, and one list that
+    names them is published last (`sources.published`), along with the folders of
+    `side`. If the columns changed, all months are written anew. If another writer
+    publishes first, the merge is done again on its rows.
     """
-    date, keys = S.DATE_COLUMN[name], S.KEYS[name]
-    target = None if full_refresh else tables.read_table(spark, path)
-    if target is None:
-        whole = tables.with_month(df, date)
-        version = tables.next_version(spark, path)
-        rows = tables.clustered_write(whole, version, S.CLUSTERING[name], tables.MONTH)
-        if rows == 0:
+    date, keys, cols = S.DATE_COLUMN[name], S.KEYS[name], S.CLUSTERING[name]
+    side = side or {}
+    first = tables.read_table(spark, path)
+    if full_refresh or first is None:
+        rows, parts, schema = tables.write_run(tables.with_month(df, date), path, cols, tables.MONTH)
+        if rows == 0 and first is not None:
             # nothing to show yet is fine; replacing a table with nothing is not
-            tables.delete_folder(spark, version)
-            if tables.current_version(spark, path):
-                raise ValueError(f"refusing to replace {path} with an empty frame")
-        tables.drop_old_versions(spark, path)
+            raise ValueError(f"refusing to replace {path} with an empty frame")
+
+        def replaced(base: Listing | None) -> Listing | None:
+            if not rows and not side:
+                return None
+            if base is not None and not full_refresh and base.parts:
+                raise Conflict(f"{path} was built by another writer at the same time")
+            kept = base.side if base is not None and not full_refresh else {}
+            return Listing(schema=schema, parts=parts, side={**kept, **side})
+
+        published.commit(spark, path, replaced)
         return rows
 
     # the batch is computed once, into the table's own folder, then used twice
@@ -105,19 +120,27 @@ def build_fact(
     with_months = tables.with_month(df, date)
     rows = tables.counted_write(with_months, lambda d: d.write.mode("overwrite"), batch_path)
     batch = spark.read.parquet(batch_path)
+
+    def merged(base: Listing | None) -> Listing | None:
+        if not rows and not side:
+            return None
+        if not rows and base is not None:
+            return replace(base, side={**base.side, **side})
+        # a table of versions, from before there were lists, is taken over whole
+        target = tables.read_table(spark, path) if base is None else published.read(spark, path, base)
+        if base is None or set(target.columns) != set(batch.columns):
+            whole = merge_by_key(sync_columns(target, batch.schema), batch, keys)
+            _, parts, schema = tables.write_run(whole, path, cols, tables.MONTH)
+            return Listing(schema=schema, parts=parts, side={**(base.side if base else {}), **side})
+        # bounded by the calendar, not by the data
+        months = [r[0] for r in batch.select(tables.MONTH).distinct().collect()]
+        touched = published.read(spark, path, base, months)
+        whole = batch if touched is None else merge_by_key(touched.select(*batch.columns), batch, keys)
+        _, parts, _ = tables.write_run(whole, path, cols, tables.MONTH)
+        return replace(base, parts={**base.parts, **parts}, side={**base.side, **side})
+
     try:
-        if set(target.columns) != set(batch.columns):
-            merged = merge_by_key(sync_columns(target, batch.schema), batch, keys)
-            out, merge = tables.next_version(spark, path), False
-        else:
-            # bounded by the calendar, not by the data
-            months = [r[0] for r in batch.select(tables.MONTH).distinct().collect()]
-            touched = target.where(F.col(tables.MONTH).isin(months))
-            merged = merge_by_key(touched.select(*batch.columns), batch, keys)
-            out, merge = tables.current_version(spark, path), True
-        if rows:
-            tables.clustered_write(merged, out, S.CLUSTERING[name], tables.MONTH, merge)
-        tables.drop_old_versions(spark, path)
+        published.commit(spark, path, merged)
     finally:
         tables.delete_folder(spark, batch_path)
     return rows

@@ -28,6 +28,11 @@ def dim_security(companies: DataFrame, prices: DataFrame) -> DataFrame:
     ranges = date_range_by_key(
         prices, "ticker", "price_date", "first_trading_date", "last_trading_date"
     )
+    return security_with_spans(companies, ranges)
+
+
+def security_with_spans(companies: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Companies beside (ticker, first_trading_date, last_trading_date)."""
     return companies.join(ranges, "ticker", "left").select(
         "ticker",
         "company_name",

@@ -7,6 +7,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +17,8 @@ from marketlake import constants as C
 from marketlake import schemas as S
 from marketlake.operators import quality as Q
 from marketlake.operators.merge import incremental_rows
-from marketlake.plans import incremental, marts, staging
-from marketlake.sources import tables
+from marketlake.plans import incremental, marts, price_state, staging
+from marketlake.sources import ledger, published, tables
 from marketlake.sources.raw import values_df
 
 STAGING = {
@@ -27,7 +29,12 @@ STAGING = {
     "stg_valuation_metrics": ("valuation_metrics", staging.stg_valuation_metrics),
 }
 MARTS = ["dim_date", "dim_security", *S.KEYS]
-LOADED = "_loaded"
+LEDGER = "_files_taken_in"
+FACT_OF = {
+    "stg_macro_indicators": "fact_macro_readings",
+    "stg_financial_statements": "fact_fundamentals",
+    "stg_valuation_metrics": "fact_valuation_snapshot",
+}
 # staged days that facts take only if the calendar has them
 DAYS = {
     "stg_prices": "price_date",
@@ -61,21 +68,58 @@ def register_views(spark: SparkSession, base: str) -> list[str]:
     return sorted(frames)
 
 
-def calendar_span(stg: dict[str, DataFrame]) -> tuple[str, int]:
+def calendar_span(stg: dict[str, DataFrame], spans: DataFrame | None = None) -> tuple[str, int]:
     """First day and number of days of a calendar that holds the usual span and every
-    day of the staged data."""
+    day of the staged data; `spans` (first_day, last_day) stands for the prices."""
     first = dt.date.fromisoformat(C.CALENDAR_START)
     last = first + dt.timedelta(days=C.CALENDAR_ROWS - 1)
-    for view, day in DAYS.items():
-        low, high = stg[view].agg(F.min(day), F.max(day)).first()
+    ends = [stg[view].agg(F.min(day), F.max(day)) for view, day in DAYS.items()
+            if spans is None or view != "stg_prices"]
+    if spans is not None:
+        ends.append(spans.agg(F.min("first_day"), F.max("last_day")))
+    for low, high in (end.first() for end in ends):
         first, last = min(first, low or first), max(last, high or last)
     return first.isoformat(), (last - first).days + 1
 
 
-def _watermark(spark: SparkSession, base: str) -> int | None:
-    """The newest load time (epoch nanoseconds) that the price fact has taken in."""
-    stored = tables.read_table(spark, f"{base}/marts/{LOADED}")
-    return None if stored is None else stored.agg(F.max("loaded")).first()[0]
+def _since(rows: DataFrame, loaded_after: dt.datetime) -> DataFrame:
+    """Rows loaded after a time, in either form of load times, and those without one."""
+    extracted = F.col("extracted_at")
+    if dict(rows.dtypes)["extracted_at"] == "bigint":
+        limit = F.lit(int((loaded_after - dt.datetime(1970, 1, 1)).total_seconds()) * 10**9)
+    else:
+        limit = F.lit(loaded_after).cast("timestamp_ntz")
+    return rows.where(extracted.isNull() | (extracted > limit))
+
+
+def _intakes(
+    spark: SparkSession, base: str, whole: bool, loaded_after: dt.datetime | None
+) -> dict[str, ledger.Intake]:
+    """What each RAW table brings: rows of files not taken in yet, or of later loads."""
+    found = {}
+    for name in S.RAW:
+        empty = spark.createDataFrame([], S.RAW[name])
+        taken = ledger.intake(spark, f"{base}/raw/{name}", f"{base}/marts/{LEDGER}", name, empty)
+        if whole:
+            taken = replace(taken, fresh=None)
+        elif loaded_after is not None:
+            taken = replace(taken, fresh=_since(taken.rows, loaded_after))
+        found[name] = taken
+    return found
+
+
+def _staged(view: str, taken: ledger.Intake, keys: list[str], again: DataFrame | None) -> DataFrame:
+    """Staged rows of all keys that new files touch, and of the tickers in `again`. A key's
+    old rows come along, since a fact row may be made of several."""
+    make = STAGING[view][1]
+    rows = make(taken.rows)
+    if taken.fresh is None:
+        return rows
+    touched = rows.join(make(taken.fresh).select(*keys).distinct(), keys, "left_semi")
+    if again is None or "ticker" not in keys:
+        return touched
+    others = rows.join(make(taken.fresh).select(*keys).distinct(), keys, "left_anti")
+    return touched.unionByName(others.join(again, "ticker", "left_semi"))
 
 
 def build(
@@ -88,45 +132,64 @@ def build(
 ) -> dict[str, int]:
     """Bring every mart up to date with RAW; returns rows written per table.
 
+    What is new is what lies in RAW files no build has taken in (`sources.ledger`),
+    whatever its load times and days; `loaded_after` takes rows of later loads instead.
     Facts take new and changed rows by key, however old their days ("upsert"), or only
-    rows newer than their newest day (`scope="global"`). The newest load time taken in
-    is kept beside the price fact after each build, so late and restated days and the
-    history of new tickers arrive on the next one; `loaded_after` overrides it. The
-    calendar spans the data unless `calendar` gives its first day and length.
+    rows newer than their newest day (`scope="global"`). Prices are refreshed from the
+    tails kept beside their fact (`plans.price_state`). A ticker that has become a known
+    security since the last build gets its whole history. The calendar spans the data
+    unless `calendar` gives its first day and length; then all rows are looked at again.
     """
     if scope not in ("upsert", "global"):
         raise ValueError(f"scope is 'upsert' or 'global', not {scope!r}")
-    stg = staging_views(spark, base)
     path = lambda name: f"{base}/marts/{name}"
-    spine = marts.dim_date(spark, *(calendar or calendar_span(stg)))
+    fact = path("fact_daily_prices")
+    intakes = _intakes(spark, base, full_refresh or calendar is not None, loaded_after)
+    stg = {view: make(intakes[raw].rows) for view, (raw, make) in STAGING.items()}
+
+    security = tables.read_table(spark, path("dim_security"))
+    again = None
+    if security is not None and not full_refresh:
+        again = stg["stg_companies"].select("ticker").join(security, "ticker", "left_anti").distinct()
+        again = None if again.isEmpty() else again
+
+    prices, current = intakes["prices"], published.listing(spark, fact)
+    old = None
+    if prices.fresh is not None:
+        old = published.read_side(spark, fact, current, price_state.SIDE)
+    known = None if old is None or again is None else again.join(old, "ticker", "left_semi")
+    returns, tails = price_state.refresh(prices.rows, prices.fresh, old, known)
+    side_folder = f"{price_state.SIDE}={uuid.uuid4().hex}"
+    tails.write.parquet(f"{fact}/{side_folder}")
+    tails = spark.read.parquet(f"{fact}/{side_folder}")
+
+    spine = marts.dim_date(spark, *(calendar or calendar_span(stg, tails)))
     written = {"dim_date": tables.build_table(spine, path("dim_date"))}
-    prices = raw_table(spark, base, "prices")
-    newest = prices.agg(F.max("extracted_at")).first()[0]
-    days = staging.stg_prices(prices, dedupe=False, keep=[])
+    spans = tails.select(
+        "ticker", F.col("first_day").alias("first_trading_date"),
+        F.col("last_day").alias("last_trading_date"),
+    )
     written["dim_security"] = tables.build_table(
-        marts.dim_security(stg["stg_companies"], days), path("dim_security")
+        marts.security_with_spans(stg["stg_companies"], spans), path("dim_security")
     )
     calendar = tables.read_table(spark, path("dim_date"))
     security = tables.read_table(spark, path("dim_security"))
 
-    date = S.DATE_COLUMN["fact_daily_prices"]
-    high_water = None if full_refresh else tables.max_date(spark, path("fact_daily_prices"), date)
-    if high_water is None:
-        returns = marts.int_daily_returns(staging.stg_prices(prices, keep=["close_price", "volume"]))
-    elif scope == "global":
-        returns = incremental.returns_after(prices, high_water)
-    else:
-        since = loaded_after if loaded_after is not None else _watermark(spark, base)
-        # without a record of earlier loads everything may be new
-        returns = incremental.returns_changed(prices, high_water, -1 if since is None else since)
+    if scope == "global" and not full_refresh:
+        newest = tables.max_date(spark, fact, S.DATE_COLUMN["fact_daily_prices"])
+        returns = returns if newest is None else returns.where(F.col("price_date") > F.lit(newest))
+    staged = {
+        view: _staged(view, intakes[STAGING[view][0]], S.KEYS[name], again)
+        for view, name in FACT_OF.items()
+    }
     facts = {
         "fact_daily_prices": marts.fact_daily_prices(returns, security, calendar),
-        "fact_macro_readings": marts.fact_macro_readings(stg["stg_macro_indicators"], calendar),
+        "fact_macro_readings": marts.fact_macro_readings(staged["stg_macro_indicators"], calendar),
         "fact_fundamentals": marts.fact_fundamentals(
-            marts.int_fundamentals_pivoted(stg["stg_financial_statements"]), security, calendar
+            marts.int_fundamentals_pivoted(staged["stg_financial_statements"]), security, calendar
         ),
         "fact_valuation_snapshot": marts.fact_valuation_snapshot(
-            stg["stg_valuation_metrics"], security
+            staged["stg_valuation_metrics"], security
         ),
     }
     for name, df in facts.items():
@@ -136,10 +199,10 @@ def build(
             if set(target.columns) == set(df.columns):
                 values = [c for c in df.columns if c != "extracted_at"]
                 df = incremental_rows(df, target, S.DATE_COLUMN[name], scope, S.KEYS[name], values)
-        written[name] = incremental.build_fact(spark, path(name), df, name, full_refresh)
-    if newest is not None:  # only now, so that a build that failed is done again
-        mark = spark.range(1).select(F.lit(newest).cast("long").alias("loaded"))
-        tables.build_table(mark, path(LOADED))
+        side = {price_state.SIDE: side_folder} if name == "fact_daily_prices" else None
+        written[name] = incremental.build_fact(spark, path(name), df, name, full_refresh, side)
+    # only now, so that a build that failed is done again
+    ledger.record(spark, path(LEDGER), {name: taken.new_files for name, taken in intakes.items()})
     return written
 
 

@@ -1,8 +1,10 @@
 """Table folders: append, overwrite, clustering, date probes.
 
-A table is a folder of version folders (`v00001`, ...). A version counts once
-Spark's job commit has left its `_SUCCESS` marker, so an overwrite that dies half
-way leaves readers on the version before. Appends go into the current version.
+A RAW table or dimension is a folder of version folders (`v00001`, ...). A version
+counts once Spark's job commit has left its `_SUCCESS` marker, so an overwrite that
+dies half way leaves readers on the version before. Appends go into the current
+version. A fact is a list of month folders (`sources.published`); `read_table` reads
+either kind.
 """
 
 from __future__ import annotations
@@ -14,25 +16,18 @@ from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.functions.scalar import normalize_names
+from marketlake.sources import published
+from marketlake.sources.files import delete_folder, exists, names_in
 
 MONTH = "month_key"
 
 
-def _fs(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
-
-
 def _versions(spark: SparkSession, path: str) -> list[str]:
     """Committed version names, oldest first."""
-    fs, root = _fs(spark, path)
-    if not fs.exists(root):
-        return []
-    names = sorted(s.getPath().getName() for s in fs.listStatus(root))
     return [
         name
-        for name in names
-        if name.startswith("v") and fs.exists(_fs(spark, f"{path}/{name}/_SUCCESS")[1])
+        for name in names_in(spark, path)
+        if name.startswith("v") and exists(spark, f"{path}/{name}/_SUCCESS")
     ]
 
 
@@ -44,17 +39,11 @@ def current_version(spark: SparkSession, path: str) -> str | None:
 def next_version(spark: SparkSession, path: str) -> str:
     """A number above every folder there, committed or left behind by a dead job, so
     that no new version is written among files of an old attempt."""
-    fs, root = _fs(spark, path)
-    names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+    names = names_in(spark, path)
     used = [int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit()]
     return f"{path}/v{max(used, default=0) + 1:05d}"
 
 
-def delete_folder(spark: SparkSession, path: str) -> None:
-    fs, folder = _fs(spark, path)
-    fs.delete(folder, True)
-
-
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
     """Delete all but the newest `keep` versions; running readers may still hold
     the one before the newest."""
@@ -63,7 +52,11 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The current version with lower-case names, or None if there is none yet."""
+    """The current list or version with lower-case names, or None if there is none yet."""
+    found = published.listing(spark, path)
+    if found is not None:
+        rows = published.read(spark, path, found)
+        return None if rows is None else normalize_names(rows)
     version = current_version(spark, path)
     return None if version is None else normalize_names(spark.read.parquet(version))
 
@@ -128,20 +121,27 @@ def clustered(df: DataFrame, cols: list[str], partition: str | None = None) -> D
 
 
 def clustered_write(
-    df: DataFrame, path: str, cols: list[str], partition: str | None = None, merge: bool = False
+    df: DataFrame, path: str, cols: list[str], partition: str | None = None
 ) -> int:
-    """Write clustered, replacing `path`; with `merge` only the partitions present in
-    `df` are replaced (Spark stages them aside and moves them in on commit, so `df`
-    may read from `path`)."""
-    mode = "dynamic" if merge else "static"
+    """Write clustered, replacing `path`."""
 
     def writer(d: DataFrame) -> DataFrameWriter:
-        w = d.write.mode("overwrite").option("partitionOverwriteMode", mode)
+        w = d.write.mode("overwrite").option("partitionOverwriteMode", "static")
         return w.partitionBy(partition) if partition else w
 
     return counted_write(clustered(df, cols, partition), writer, path)
 
 
+def write_run(
+    df: DataFrame, path: str, cols: list[str], partition: str | None = None
+) -> tuple[int, dict[str, str], str]:
+    """Write rows into a new run folder of a published table: their number, the folders
+    by month, and their schema, all for the next list."""
+    spark, run = df.sparkSession, published.new_run()
+    rows = clustered_write(df, f"{path}/{run}", cols, partition)
+    return rows, published.written_parts(spark, path, run, partition), df.schema.json()
+
+
 @contextmanager
 def _footer_aggregates(spark: SparkSession):
     """Let min and max be answered from Parquet footers, without reading columns."""
