@@ -42,6 +42,27 @@ def _ns_ts(c: str) -> str:
     return f"make_timestamp({c} // 1000)"
 
 
+# ---- gaps ------------------------------------------------------------------
+
+
+def _gap_days(prices: str) -> str:
+    return f"""
+      SELECT day, row_number() OVER (ORDER BY day) AS number FROM (
+        SELECT DISTINCT price_date AS day FROM {prices} WHERE price_date >= DATE '1994-12-01'
+        UNION ALL
+        SELECT day FROM (SELECT CAST(range AS DATE) AS day FROM range(
+            DATE '1994-12-01', (SELECT min(price_date) FROM {prices}), INTERVAL 1 DAY))
+        WHERE dayofweek(day) NOT IN (0, 6))"""
+
+
+def _lacking(prices: str, days: str) -> str:
+    return f"""
+      SELECT c.ticker, day, number,
+             number - row_number() OVER (PARTITION BY c.ticker ORDER BY number) AS island
+      FROM companies c, {days}
+      WHERE (c.ticker, day) NOT IN (SELECT (ticker, price_date) FROM {prices})"""
+
+
 # ---- RAW -------------------------------------------------------------------
 
 _RATIOS = list(C.VALUATION_RATIOS)
@@ -265,6 +286,21 @@ CTES = {
       SELECT c_custkey, upper(substr(c_mktsegment, 1, 3)) || '.' || c_custkey AS raw_symbol
       FROM customer""",
     "per_day": "SELECT price_date, count(*) AS n FROM prices GROUP BY 1",
+    "gap_days": _gap_days("prices"),
+    "lacking": _lacking("prices", "gap_days"),
+    "holed": """
+      SELECT * FROM quotes
+      WHERE NOT (price_date BETWEEN DATE '1997-03-01' AND DATE '1997-05-31' AND ticker <> 'C0')""",
+    "holed_days": _gap_days("holed"),
+    "holed_lacking": _lacking("holed", "holed_days"),
+    "holed_gaps": """
+      SELECT ticker, min(day) AS gap_start, max(day) AS gap_end FROM holed_lacking GROUP BY ticker, island""",
+    "landing": f"""
+      SELECT *, price_date > {SPLIT} OR (day(price_date) = 15 AND year(price_date) = 1998) AS lands
+      FROM prices""",
+    "touched": """
+      SELECT ticker, price_date, bool_or(lands) OVER (PARTITION BY ticker ORDER BY price_date
+               ROWS BETWEEN 251 PRECEDING AND CURRENT ROW) AS hit FROM landing""",
 }
 
 _WORD = re.compile(r"[A-Za-z_]+")
@@ -412,6 +448,24 @@ _BODIES = {
       WHERE price_date >= DATE '1995-06-01' AND (oldest IS NULL OR price_date < oldest)""".replace(
         "q.*", "q.ticker, q.price_date, q.close_price"
     ),
+    "price_gaps": """
+      SELECT ticker, min(day) AS gap_start, max(day) AS gap_end, count(*) AS missing_days
+      FROM lacking GROUP BY ticker, island""",
+    "backfill_landed": """
+      SELECT q.ticker, price_date, close_price FROM quotes q JOIN holed_gaps g
+        ON q.ticker = g.ticker AND price_date BETWEEN gap_start AND gap_end""",
+    "price_tails": """
+      SELECT ticker, first_day, last_day, count(*) AS rows_kept, min(price_date) AS kept_from,
+             round(CAST(sum(CAST(close_price AS DECIMAL(20, 6))) AS DOUBLE), 4) AS close_sum
+      FROM (SELECT *, min(price_date) OVER p AS first_day, max(price_date) OVER p AS last_day,
+                   row_number() OVER (PARTITION BY ticker ORDER BY price_date DESC) AS back
+            FROM prices WINDOW p AS (PARTITION BY ticker))
+      WHERE back <= 251 GROUP BY ALL""",
+    "tail_refresh": f"""
+      SELECT r.ticker, r.price_date, volume, {_r("close_price", "week_52_high", "week_52_low",
+      "daily_return", "rolling_30d_vol_annualized")}
+      FROM returns r JOIN touched t ON r.ticker = t.ticker AND r.price_date = t.price_date
+      WHERE hit""",
     "ns_epoch_to_date": """
       SELECT event_id, CAST(ts AS DATE) AS day, ts AS at,
              CAST(make_timestamp(-epoch_us(ts)) AS DATE) AS mirrored_day FROM events""",

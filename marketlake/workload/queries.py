@@ -17,7 +17,7 @@ from marketlake.operators import merge as M
 from marketlake.operators import quality as Q
 from marketlake.operators import reshape as R
 from marketlake.operators import windows as W
-from marketlake.plans import catalog, events, marts, questions, staging
+from marketlake.plans import backfill, catalog, events, marts, price_state, questions, staging
 from marketlake.sources import shaping
 from marketlake.sources.raw import values_df
 from marketlake.workload import market as MK
@@ -244,6 +244,50 @@ def backfill_window(spark, sf):
     return M.backfill_rows(rows, tgt, "ticker", "price_date", "1995-06-01")
 
 
+GAPS_FROM = "1994-12-01"
+
+
+def _market_gaps(spark, sf, prices):
+    days = backfill.market_days(spark, prices, GAPS_FROM)
+    return backfill.gaps(prices, days, MK.companies(spark, sf))
+
+
+@query
+def price_gaps(spark, sf):
+    """Runs of market days that each known ticker lacks."""
+    return _market_gaps(spark, sf, MK.price_days(spark, sf))
+
+
+@query
+def backfill_landed(spark, sf):
+    """What a source has in the gaps, where a quarter of most tickers is missing."""
+    rows = _quotes(spark, sf)
+    hole = F.col("price_date").between("1997-03-01", "1997-05-31") & (F.col("ticker") != "C0")
+    return backfill.in_gaps(rows, "price_date", _market_gaps(spark, sf, rows.where(~hole)))
+
+
+@query
+def price_tails(spark, sf):
+    tails = price_state.tails(MK.closes(spark, sf))
+    points = tails.select("ticker", "first_day", "last_day", F.inline("tail"))
+    return points.groupBy("ticker", "first_day", "last_day").agg(
+        F.count("*").alias("rows_kept"), F.min("price_date").alias("kept_from"),
+        F.round(F.sum(F.col("close_price").cast("decimal(20,6)")).cast("double"), 4).alias("close_sum"),
+    )
+
+
+@query
+def tail_refresh(spark, sf):
+    """Rows to merge when the second half lands along with late days of the first."""
+    raw = MK.raw_prices(spark, sf)
+    day_of = S.ns_to_date("date")
+    late = (F.dayofmonth(day_of) == 15) & (F.year(day_of) == 1998)
+    lands = (day_of > day(SPLIT)) | late
+    old = price_state.tails(price_state.closes_of(raw.where(~lands)))
+    returns, _ = price_state.refresh(raw, raw.where(lands), old)
+    return rounded_all(returns)
+
+
 # ---- scalars ---------------------------------------------------------------
 
 
