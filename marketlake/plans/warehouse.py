@@ -30,10 +30,11 @@ STAGING = {
 }
 MARTS = ["dim_date", "dim_security", *S.KEYS]
 LEDGER = "_files_taken_in"
+# facts but prices, with their RAW table and staging view
 FACT_OF = {
-    "stg_macro_indicators": "fact_macro_readings",
-    "stg_financial_statements": "fact_fundamentals",
-    "stg_valuation_metrics": "fact_valuation_snapshot",
+    "fact_macro_readings": ("macro_indicators", "stg_macro_indicators"),
+    "fact_fundamentals": ("financial_statements", "stg_financial_statements"),
+    "fact_valuation_snapshot": ("valuation_metrics", "stg_valuation_metrics"),
 }
 # staged days that facts take only if the calendar has them
 DAYS = {
@@ -157,11 +158,18 @@ def build(
     old = None
     if prices.fresh is not None:
         old = published.read_side(spark, fact, current, price_state.SIDE)
-    known = None if old is None or again is None else again.join(old, "ticker", "left_semi")
-    returns, tails = price_state.refresh(prices.rows, prices.fresh, old, known)
-    side_folder = f"{price_state.SIDE}={uuid.uuid4().hex}"
-    tails.write.parquet(f"{fact}/{side_folder}")
-    tails = spark.read.parquet(f"{fact}/{side_folder}")
+    # nothing landed and no ticker has become known: the fact and its state stay
+    quiet = lambda raw: (
+        loaded_after is None and again is None
+        and intakes[raw].fresh is not None and not intakes[raw].new_files
+    )
+    returns, tails, side = None, old, None
+    if old is None or not quiet("prices"):
+        known = None if old is None or again is None else again.join(old, "ticker", "left_semi")
+        returns, tails = price_state.refresh(prices.rows, prices.fresh, old, known)
+        side = {price_state.SIDE: f"{price_state.SIDE}={uuid.uuid4().hex}"}
+        tails.write.parquet(f"{fact}/{side[price_state.SIDE]}")
+        tails = spark.read.parquet(f"{fact}/{side[price_state.SIDE]}")
 
     spine = marts.dim_date(spark, *(calendar or calendar_span(stg, tails)))
     written = {"dim_date": tables.build_table(spine, path("dim_date"))}
@@ -175,32 +183,37 @@ def build(
     calendar = tables.read_table(spark, path("dim_date"))
     security = tables.read_table(spark, path("dim_security"))
 
-    if scope == "global" and not full_refresh:
+    if returns is not None and scope == "global" and not full_refresh:
         newest = tables.max_date(spark, fact, S.DATE_COLUMN["fact_daily_prices"])
         returns = returns if newest is None else returns.where(F.col("price_date") > F.lit(newest))
     staged = {
-        view: _staged(view, intakes[STAGING[view][0]], S.KEYS[name], again)
-        for view, name in FACT_OF.items()
-    }
-    facts = {
-        "fact_daily_prices": marts.fact_daily_prices(returns, security, calendar),
-        "fact_macro_readings": marts.fact_macro_readings(staged["stg_macro_indicators"], calendar),
-        "fact_fundamentals": marts.fact_fundamentals(
-            marts.int_fundamentals_pivoted(staged["stg_financial_statements"]), security, calendar
-        ),
-        "fact_valuation_snapshot": marts.fact_valuation_snapshot(
-            staged["stg_valuation_metrics"], security
-        ),
+        name: _staged(view, intakes[raw], S.KEYS[name], again)
+        for name, (raw, view) in FACT_OF.items() if not quiet(raw)
     }
-    for name, df in facts.items():
+    facts = {}
+    if returns is not None:
+        facts["fact_daily_prices"] = marts.fact_daily_prices(returns, security, calendar)
+    if (macro := staged.get("fact_macro_readings")) is not None:
+        facts["fact_macro_readings"] = marts.fact_macro_readings(macro, calendar)
+    if (statements := staged.get("fact_fundamentals")) is not None:
+        pivoted = marts.int_fundamentals_pivoted(statements)
+        facts["fact_fundamentals"] = marts.fact_fundamentals(pivoted, security, calendar)
+    if (valuations := staged.get("fact_valuation_snapshot")) is not None:
+        facts["fact_valuation_snapshot"] = marts.fact_valuation_snapshot(valuations, security)
+    for name in S.KEYS:
+        written[name] = 0
+        if name not in facts:
+            continue
+        df = facts[name]
         target = None if full_refresh else tables.read_table(spark, path(name))
         if target is not None and name != "fact_daily_prices":
             target = target.drop(tables.MONTH)
             if set(target.columns) == set(df.columns):
                 values = [c for c in df.columns if c != "extracted_at"]
                 df = incremental_rows(df, target, S.DATE_COLUMN[name], scope, S.KEYS[name], values)
-        side = {price_state.SIDE: side_folder} if name == "fact_daily_prices" else None
-        written[name] = incremental.build_fact(spark, path(name), df, name, full_refresh, side)
+        written[name] = incremental.build_fact(
+            spark, path(name), df, name, full_refresh, side if name == "fact_daily_prices" else None
+        )
     # only now, so that a build that failed is done again
     ledger.record(spark, path(LEDGER), {name: taken.new_files for name, taken in intakes.items()})
     return written
