@@ -4,9 +4,10 @@ date by signed changes.
 A change inserts, deletes or revises the count of one document: an insert adds its new
 side, a delete takes its old side away, a revision does both. A batch of changes is
 summed by key and added to the totals before. The new totals and the ids of all batches
-in them are one table version, published by one marker file; so a batch either counts
-whole or not at all, and committing it again (a retried job) changes nothing. The state
-has a row for each key and batch.
+in them are one list of folders, published under the next number if no other commit has
+taken it; so a batch either counts whole or not at all, committing it again (a retried
+job) changes nothing, and commits at once all count. The state has a row for each key and
+batch.
 
 Null sources, languages and versions are keys of their own. A batch without changes is
 recorded as well. Keys whose documents have all gone have no row. Repeated changes
@@ -20,7 +21,8 @@ from pyspark.sql import functions as F
 
 from marketlake.llm import bytebpe
 from marketlake.llm.storage import folder, stored
-from marketlake.sources import tables
+from marketlake.sources import published, tables
+from marketlake.sources.published import Listing
 
 KEYS = ["source", "lang", "tokenizer_version"]
 SIDE = "struct<source:string,lang:string,tokenizer_version:string,n_tokens:bigint>"
@@ -55,24 +57,36 @@ def signed(batch: DataFrame) -> DataFrame:
 
 
 def commit(spark: SparkSession, base: str, batch_id: str, batch: DataFrame) -> bool:
-    """Add a batch to the totals under `base`; False if it was in them already."""
-    state = tables.read_table(spark, base)
+    """Add a batch to the totals under `base`; False if it was in them already. Of two
+    commits at once one publishes first, the other adds its batch to the newer totals."""
     add = signed(batch).withColumn("batch_id", F.lit(None).cast("string"))
     marker = spark.range(1).select(
         *(F.lit(None).cast("string").alias(k) for k in KEYS), F.lit(0).cast("long").alias("n_docs"),
         F.lit(0).cast("long").alias("n_tokens"), F.lit(batch_id).alias("batch_id"),
     )
-    new = add.unionByName(marker)
-    if state is not None:
-        if not state.where(F.col("batch_id") == batch_id).isEmpty():
-            return False
-        new = new.unionByName(state)
-    summed = new.groupBy(*KEYS, "batch_id").agg(
-        F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")
-    )
-    alive = F.col("batch_id").isNotNull() | (F.col("n_docs") != 0) | (F.col("n_tokens") != 0)
-    tables.build_table(summed.where(alive), base)
-    return True
+    # the batch is summed once, however often its commit is tried
+    new = stored(add.unionByName(marker), "batch")
+    added = False
+
+    def with_batch(found: Listing | None) -> Listing | None:
+        nonlocal added
+        rows, added = new, False
+        if found is not None:
+            state = published.read(spark, base, found)
+            if not state.where(F.col("batch_id") == batch_id).isEmpty():
+                return None
+            rows = new.unionByName(state)
+        summed = rows.groupBy(*KEYS, "batch_id").agg(
+            F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")
+        )
+        alive = F.col("batch_id").isNotNull() | (F.col("n_docs") != 0) | (F.col("n_tokens") != 0)
+        run, kept = published.new_run(), summed.where(alive)
+        kept.write.parquet(f"{base}/{run}")
+        added = True
+        return Listing(schema=kept.schema.json(), parts=published.written_parts(spark, base, run, None))
+
+    published.commit(spark, base, with_batch)
+    return added
 
 
 def totals(spark: SparkSession, base: str) -> DataFrame:

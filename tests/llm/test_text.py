@@ -136,6 +136,25 @@ def test_migrated_counts(spark):
     assert got == dict(want)
 
 
+def test_token_batches_committed_at_once_all_count(spark):
+    import threading
+
+    rows = frames.docs(spark).withColumn("n", F.lit(5).cast("long"))
+    side = {"source": F.lit("s"), "lang": F.lit("l"), "tokenizer_version": F.lit("v"), "n_tokens": F.col("n")}
+    base = folder(spark, "at-once")
+    load = tokencounts.changes(rows, "insert", new=side)
+    added = []
+    commits = [threading.Thread(target=lambda b=b: added.append(tokencounts.commit(spark, base, b, load)))
+               for b in ("a", "b", "b", "c")]
+    for t in commits:
+        t.start()
+    for t in commits:
+        t.join()
+    assert sorted(added) == [False, True, True, True]
+    assert [tuple(r) for r in tokencounts.totals(spark, base).collect()] == [
+        ("s", "l", "v", 3 * rows.count(), 15 * rows.count())]
+
+
 def test_passages_are_removed_once(spark):
     rows = {(r["doc_id"], r["text"] is None): r for r in substrings.report(frames.docs(spark)).collect()}
     text = {r["doc_id"]: r["text"] for r in rows.values()}
