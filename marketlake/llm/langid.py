@@ -106,10 +106,15 @@ def fit(texts: list[str], langs: list[str]) -> Model | None:
     if not languages:
         return None
     code = codewords(len(languages))
-    x = np.stack([features(t) for t in texts])
+    x = np.empty((len(texts), WIDTH), dtype=np.float32)
+    for row, text in zip(x, texts):
+        row[:] = features(text)
     index = np.array([languages.index(g) for g in langs])
     y = code[index]
-    inverse = np.linalg.inv((x @ x.T).astype(np.float64) + RIDGE * np.eye(len(x)))
+    products = (x @ x.T).astype(np.float64)
+    products[np.diag_indices(len(x))] += RIDGE
+    inverse = np.linalg.inv(products)
+    del products
     dual = inverse @ y
     left_out = y - dual / np.diag(inverse)[:, None]
     error = np.clip((left_out * y <= 0).mean(axis=0), 0.001, 0.499)

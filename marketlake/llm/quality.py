@@ -31,6 +31,8 @@ SPREAD = 4
 #: least distance of a limit from the quartile, by feature, in units of the feature
 LEAST = {"symbols": 100, "dup_lines": 300, "repeats": 300, "word_len": 25}
 FEATURES = list(LEAST)
+#: languages and sources whose limits are broadcast, some hundred bytes each
+GROUPS = 100_000
 
 
 def _let(value: Column, body) -> Column:
@@ -169,8 +171,12 @@ def _verdict() -> Column:
 
 
 def judged(counted: DataFrame, found: DataFrame) -> DataFrame:
-    """Add `kept`. The limits have one row for each language and source."""
-    limit = found.withColumnsRenamed({"lang": "limit_lang", "source": "limit_source"})
+    """Add `kept`. The limits have one row for each language and source: they are stored
+    and counted, and up to `GROUPS` of them are broadcast, so that documents stay where
+    they are; more are joined by a shuffle."""
+    limit = stored(found, "limits").withColumnsRenamed({"lang": "limit_lang", "source": "limit_source"})
+    if limit.count() <= GROUPS:
+        limit = F.broadcast(limit)
     lang, source = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("lang", "source"))
     on = (lang == F.col("limit_lang")) & (source == F.col("limit_source"))
     return counted.join(limit, on, "left").withColumn("kept", F.coalesce(_verdict(), F.lit(False)))
@@ -186,10 +192,12 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that are kept, with their own columns. The counts are computed
-    once for the sketches and once beside the text, so that no text is shuffled."""
-    found = limits(sketches(with_counts(docs)))
-    return judged(with_counts(docs), found).where("kept").select(*(docs[c] for c in docs.columns))
+    """The documents that are kept, with their own columns, whatever their names. Texts
+    are counted once for the sketches and once where they are judged, beside limits that
+    come to them: no text is shuffled or stored for it."""
+    whole = F.struct(*(docs[c] for c in docs.columns)).alias("doc")
+    counted = with_counts(docs.select(whole, "lang", "source", "text"))
+    return judged(counted, limits(sketches(counted))).where("kept").select("doc.*")
 
 
 def report_sql() -> str:

@@ -8,6 +8,8 @@ import pytest
 
 import corpus_pipeline
 from marketlake.llm import embeddings, langid, links, ngram_join, quality, registry, toxicity
+from pyspark.sql import functions as F
+
 from tests.compare import connect, difference
 from tests.llm import frames
 
@@ -87,6 +89,19 @@ def test_toxicity_finds_planted_words(spark):
     assert {r["score"] for r in none} == {0.0}
 
 
+def test_quality_keeps_clashing_columns(spark):
+    docs = frames.docs(spark)
+    names = ["q", "kept", "limit_lang", "limit_source", "limit_symbols", "doc", "feature", "n_words"]
+    wide = docs.withColumns({n: F.lit(n) for n in names})
+    plain = sorted(map(repr, quality.keep_good(docs).collect()))
+    kept = quality.keep_good(wide)
+    assert kept.columns == wide.columns
+    assert sorted(map(repr, kept.select(*docs.columns).collect())) == plain and len(plain) > 3
+    assert all(r[n] == n for r in kept.collect() for n in names)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
 def test_quality_edges(spark):
     docs = frames.docs(spark)
     rows = quality.report(docs).collect()
