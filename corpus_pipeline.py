@@ -39,7 +39,7 @@ STAGES = [
     ("packing", sequences),
 ]
 
-#: no SQL for trained models, similarity groups and packing; tested against brute force
+#: no SQL for trained models, similarity groups and packing; stages are tested one by one
 ORACLE_SQL = None
 
 
