@@ -248,6 +248,34 @@ FRESH_DAYS = [
     ("stg_financial_statements", "extracted_at", 10),
 ]
 
+# how far a fact may move from its anchors
+ANCHORS = {
+    "fact_daily_prices": {"close_price": ("absolute", 0.01)},
+    "fact_fundamentals": {
+        "total_revenue": ("relative", 0.001),
+        "net_income": ("relative", 0.001),
+        "diluted_eps": ("absolute", 0.01),
+    },
+}
+
+
+def record_anchors(spark: SparkSession, base: str, name: str, anchors: DataFrame) -> int:
+    """Keep the anchors of a fact: its keys and `expected_<column>` for each column of
+    `ANCHORS`, as `questions.baseline_extract` and `fundamentals_baseline` give them. They
+    replace earlier ones and are compared by every `checks` from then on."""
+    named = anchors.withColumnsRenamed({"expected_close": "expected_close_price"})
+    columns = [*S.KEYS[name], *(f"expected_{c}" for c in ANCHORS[name])]
+    return tables.build_table(named.select(*columns), f"{base}/anchors/{name}")
+
+
+def anchor_checks(spark: SparkSession, base: str, t: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Facts that have moved from their anchors, for each fact that has some."""
+    kept = {name: tables.read_table(spark, f"{base}/anchors/{name}") for name in ANCHORS if name in t}
+    return {
+        f"anchors {name}": Q.anchors_changed(t[name], anchors, S.KEYS[name], ANCHORS[name])
+        for name, anchors in kept.items() if anchors is not None
+    }
+
 
 def checks(spark: SparkSession, base: str, as_of: dt.date | str) -> dict[str, DataFrame]:
     """Every standing check by name, each the frame of its violations. Null checks
@@ -272,7 +300,7 @@ def checks(spark: SparkSession, base: str, as_of: dt.date | str) -> dict[str, Da
         out |= _price_checks(spark, t["fact_daily_prices"], as_of)
     if "fact_fundamentals" in t:
         out |= _fundamental_checks(t["fact_fundamentals"], as_of)
-    return out
+    return out | anchor_checks(spark, base, t)
 
 
 def _price_checks(spark, prices: DataFrame, as_of) -> dict[str, DataFrame]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from marketlake import schemas as S
 from marketlake.plans import backfill as B
 from marketlake.plans import incremental as I
-from marketlake.plans import price_state
+from marketlake.plans import price_state, questions
 from marketlake.plans import warehouse as WH
 from marketlake.sources import files, ledger, published
 from marketlake.sources import tables as T
@@ -199,6 +199,27 @@ def test_ticker_that_becomes_known_gets_its_history(spark, tmp_path):
     equals_full_refresh(spark, base)
 
 
+# ---- anchors -----------------------------------------------------------------
+
+
+def test_restated_history_breaks_its_anchors(spark, tmp_path):
+    base, name = str(tmp_path), f"anchors {FACT}"
+    companies(spark, base, ["A"])
+    land(spark, base, "prices", price_rows(["A"], range(10), 1))
+    WH.build(spark, base)
+    assert name not in WH.checks(spark, base, "2022-01-20")
+    anchors = questions.baseline_extract(fact(spark, base))
+    assert WH.record_anchors(spark, base, FACT, anchors) == 9
+    assert WH.checks(spark, base, "2022-01-20")[name].isEmpty()
+    land(spark, base, "prices", price_rows(["A"], [5], 0, close=77.0))  # an older load loses
+    WH.build(spark, base)
+    assert WH.checks(spark, base, "2022-01-20")[name].isEmpty()
+    land(spark, base, "prices", price_rows(["A"], [5], 10**9, close=77.0))
+    WH.build(spark, base)
+    moved = WH.checks(spark, base, "2022-01-20")[name].collect()
+    assert [(r.ticker, r.close_price) for r in moved] == [("A", 77.0)]
+
+
 # ---- tails -------------------------------------------------------------------
 
 
