@@ -4,8 +4,9 @@ Counts of a document become features (whole numbers: tenths of characters for th
 mean word length, thousandths for shares). A sketch of a feature is its table of
 (bin, count), at most 1,001 bins; sketches merge by adding counts, so those of sources
 add up to those of languages and of everything, and quantiles are read off the running
-counts. The limits of a group lie beyond its quartiles by a multiple of their distance;
-a group with few documents takes those of its language, then of everything. Documents
+counts. The limits of a group lie as far beyond its outer quantiles (the twentieth parts
+at both ends) as these lie from its median, and at least a small guard beyond them; a
+group with few documents takes those of its language, then of everything. Documents
 that pass the base rules feed the sketches, and the limits are joined back to them.
 
 Everything is DataFrame functions. Null and empty texts have no words and fail the
@@ -26,11 +27,11 @@ BLANKS = " \t\n\x0b\x0c\r"
 MIN_WORDS = 50
 #: documents that a group needs for limits of its own
 MIN_DOCS = 200
-#: distances between the quartiles beyond them
-SPREAD = 4
-#: least distance of a limit from the quartile, by feature, in units of the feature
-LEAST = {"symbols": 100, "dup_lines": 300, "repeats": 300, "word_len": 25}
-FEATURES = list(LEAST)
+#: hundredths of the documents below the inner ends of the lower and the upper limit
+LOWER, UPPER = 5, 95
+#: least distance of a limit from its quantile, by feature, in units of the feature
+GUARD = {"symbols": 50, "dup_lines": 200, "repeats": 100, "word_len": 10}
+FEATURES = list(GUARD)
 #: languages and sources whose limits are broadcast, some hundred bytes each
 GROUPS = 100_000
 
@@ -136,14 +137,15 @@ def _limits(sketch: DataFrame, keys: list[str]) -> DataFrame:
         *keys, "feature", "bin", F.sum("n").over(by).alias("docs"),
         F.sum("n").over(by.orderBy("bin").rowsBetween(W.unboundedPreceding, 0)).alias("upto"),
     )
-    at = lambda k: F.min(F.when(4 * F.col("upto") >= k * F.col("docs"), F.col("bin")))
-    quartiles = run.groupBy(*keys, "feature").agg(
-        F.max("docs").alias("docs"), at(1).alias("q1"), at(3).alias("q3")
+    at = lambda k: F.min(F.when(100 * F.col("upto") >= k * F.col("docs"), F.col("bin")))
+    quantiles = run.groupBy(*keys, "feature").agg(
+        F.max("docs").alias("docs"), at(LOWER).alias("lower"), at(50).alias("middle"), at(UPPER).alias("upper")
     )
-    least = F.create_map(*(F.lit(x) for pair in LEAST.items() for x in pair))[F.col("feature")]
-    away = F.greatest(SPREAD * (F.col("q3") - F.col("q1")), least)
-    return quartiles.select(*keys, "feature", "docs", (F.col("q1") - away).alias("low"),
-                            (F.col("q3") + away).alias("high"))
+    guard = F.create_map(*(F.lit(x) for pair in GUARD.items() for x in pair))[F.col("feature")]
+    beyond = lambda a, b: F.greatest(F.col(b) - F.col(a), guard)
+    return quantiles.select(*keys, "feature", "docs",
+                            (F.col("lower") - beyond("lower", "middle")).alias("low"),
+                            (F.col("upper") + beyond("middle", "upper")).alias("high"))
 
 
 def limits(sketch: DataFrame) -> DataFrame:
@@ -201,14 +203,15 @@ def keep_good(docs: DataFrame) -> DataFrame:
 
 
 def report_sql() -> str:
-    def quartiles(keys: str, name: str) -> str:
+    def quantiles(keys: str, name: str) -> str:
         comma = f"{keys}, " if keys else ""
-        least = " ".join(f"WHEN '{f}' THEN {v}" for f, v in LEAST.items())
+        guard = " ".join(f"WHEN '{f}' THEN {v}" for f, v in GUARD.items())
         return f"""{name} AS (
-      SELECT {comma}feature, docs, q1 - greatest({SPREAD} * (q3 - q1), least) AS low,
-             q3 + greatest({SPREAD} * (q3 - q1), least) AS high
-      FROM (SELECT {comma}feature, count(*) AS docs, quantile_disc(bin, 0.25) AS q1,
-                   quantile_disc(bin, 0.75) AS q3, CASE feature {least} END AS least
+      SELECT {comma}feature, docs, lower - greatest(middle - lower, guard) AS low,
+             upper + greatest(upper - middle, guard) AS high
+      FROM (SELECT {comma}feature, count(*) AS docs, quantile_disc(bin, {LOWER / 100}) AS lower,
+                   quantile_disc(bin, 0.5) AS middle, quantile_disc(bin, {UPPER / 100}) AS upper,
+                   CASE feature {guard} END AS guard
             FROM long GROUP BY {comma}feature))"""
 
     picks = ", ".join(
@@ -242,7 +245,7 @@ def report_sql() -> str:
     long AS (UNPIVOT (SELECT r, lang, source, symbols, dup_lines, repeats, word_len
                       FROM f WHERE NOT base_failed)
              ON symbols, dup_lines, repeats, word_len INTO NAME feature VALUE bin),
-    {quartiles('', 'o')}, {quartiles('lang', 'l')}, {quartiles('lang, source', 'g')},
+    {quantiles('', 'o')}, {quantiles('lang', 'l')}, {quantiles('lang, source', 'g')},
     chosen AS (
       SELECT g.lang, g.source, g.feature,
              CASE WHEN g.docs >= {MIN_DOCS} THEN g.low WHEN l.docs >= {MIN_DOCS} THEN l.low ELSE o.low END AS low,

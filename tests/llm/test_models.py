@@ -102,6 +102,33 @@ def test_quality_keeps_clashing_columns(spark):
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
 
 
+def test_quality_limits_follow_the_source(spark):
+    """Sources of unlike level: what is usual in one is an outlier in the other, and a
+    source with few documents takes the limits of its language."""
+    def text(i, symbols):
+        return frames.prose(i, 60) + " #" * symbols
+
+    rows = [(i, text(i, 0), "en", "plain") for i in range(300)]
+    rows += [(1000 + i, text(i, 30 + i % 11), "en", "signs") for i in range(300)]
+    rows += [(2000, text(1, 35), "en", "plain"), (2001, text(2, 400), "en", "signs"), (2002, text(3, 35), "en", "few")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = quality.limits(quality.sketches(quality.with_counts(docs)))
+    high = {r["source"]: r["limit_symbols"]["high"] for r in found.collect()}
+    assert high["plain"] == quality.GUARD["symbols"]
+    assert high["signs"] > 2 * high["plain"] and high["few"] > high["plain"]
+
+    bins = {}
+    for r in quality.with_counts(docs.where("source = 'signs'")).collect():
+        bins.setdefault("signs", []).append(r["q"]["symbols"])
+    ranked = sorted(bins["signs"])
+    at = lambda k: ranked[-(-k * len(ranked) // 100) - 1]
+    assert high["signs"] == at(95) + max(at(95) - at(50), quality.GUARD["symbols"])
+
+    kept = {r["doc_id"]: r["kept"] for r in quality.report(docs).collect()}
+    assert not kept[2000] and not kept[2001] and kept[2002]
+    assert all(kept[i] for i in range(300)) and all(kept[1000 + i] for i in range(300))
+
+
 def test_quality_edges(spark):
     docs = frames.docs(spark)
     rows = quality.report(docs).collect()
