@@ -63,17 +63,21 @@ def expect_not_future(df: DataFrame, col: str, as_of: dt.date | str | Column) ->
     return df.where(F.col(col) > _day(as_of))
 
 
-def expect_between(
-    df: DataFrame, col: str, low=None, high=None, strict_low: bool = False
-) -> DataFrame:
-    """Rows below `low` (or at it, with `strict_low`) or above `high`."""
-    c = F.col(col)
+def outside(c: Column, low=None, high=None, strict_low: bool = False) -> Column:
+    """Below `low` (or at it, with `strict_low`) or above `high`."""
     broken = F.lit(False)
     if low is not None:
         broken = broken | ((c <= low) if strict_low else (c < low))
     if high is not None:
         broken = broken | (c > high)
-    return df.where(broken)
+    return broken
+
+
+def expect_between(
+    df: DataFrame, col: str, low=None, high=None, strict_low: bool = False
+) -> DataFrame:
+    """Rows below `low` (or at it, with `strict_low`) or above `high`."""
+    return df.where(outside(F.col(col), low, high, strict_low))
 
 
 def range_violations(
@@ -84,11 +88,7 @@ def range_violations(
     checked = []
     for name, (col, low, high, strict) in rules.items():
         c = F.col(col).cast("double")
-        broken = F.lit(False)
-        if low is not None:
-            broken = broken | ((c <= low) if strict else (c < low))
-        if high is not None:
-            broken = broken | (c > high)
+        broken = outside(c, low, high, strict)
         checked.append(
             F.struct(F.lit(name).alias("rule"), c.alias("value"), broken.alias("broken"))
         )

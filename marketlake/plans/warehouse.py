@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from marketlake import constants as C
 from marketlake import schemas as S
+from marketlake.operators import audit
 from marketlake.operators import quality as Q
 from marketlake.operators.merge import incremental_rows
 from marketlake.plans import incremental, marts, price_state, staging
@@ -247,6 +248,21 @@ FRESH_DAYS = [
     ("fact_valuation_snapshot", "snapshot_date", 3),
     ("stg_financial_statements", "extracted_at", 10),
 ]
+RANGES = {
+    "fact_daily_prices": {
+        "close > 0": ("close_price", 0, None, True),
+        "volume >= 0": ("volume", 0, None, False),
+        "return within 50%": ("daily_return", -0.5, 0.5, False),
+    },
+    "fact_fundamentals": {
+        "revenue >= 0": ("total_revenue", 0, None, False),
+        "assets >= 0": ("total_assets", 0, None, False),
+    },
+}
+# names of the checks of facts that look at days to come, and at ranges
+FUTURE = {"fact_daily_prices": "future prices", "fact_fundamentals": "future periods"}
+IN_RANGE = {"fact_daily_prices": "price ranges", "fact_fundamentals": "fundamental ranges"}
+COVERED_DAYS = 5
 
 # how far a fact may move from its anchors
 ANCHORS = {
@@ -305,25 +321,55 @@ def checks(spark: SparkSession, base: str, as_of: dt.date | str) -> dict[str, Da
 
 def _price_checks(spark, prices: DataFrame, as_of) -> dict[str, DataFrame]:
     excluded = values_df(spark, [(x,) for x in C.COVERAGE_EXCLUSIONS], "ticker string")
-    rules = {
-        "close > 0": ("close_price", 0, None, True),
-        "volume >= 0": ("volume", 0, None, False),
-        "return within 50%": ("daily_return", -0.5, 0.5, False),
-    }
     return {
         "future prices": Q.expect_not_future(prices, "price_date", as_of),
-        "price ranges": Q.range_violations(prices, ["ticker", "price_date"], rules),
-        "coverage": Q.coverage_lag(prices, "ticker", "price_date", 5, excluded),
+        "price ranges": Q.range_violations(prices, ["ticker", "price_date"], RANGES["fact_daily_prices"]),
+        "coverage": Q.coverage_lag(prices, "ticker", "price_date", COVERED_DAYS, excluded),
     }
 
 
 def _fundamental_checks(fundamentals: DataFrame, as_of) -> dict[str, DataFrame]:
-    rules = {
-        "revenue >= 0": ("total_revenue", 0, None, False),
-        "assets >= 0": ("total_assets", 0, None, False),
-    }
     keys = S.KEYS["fact_fundamentals"]
     return {
         "future periods": Q.expect_not_future(fundamentals, "period_end_date", as_of),
-        "fundamental ranges": Q.range_violations(fundamentals, keys, rules),
+        "fundamental ranges": Q.range_violations(fundamentals, keys, RANGES["fact_fundamentals"]),
     }
+
+
+def table_rules(t: dict[str, DataFrame], name: str, as_of: dt.date | str) -> audit.Rules:
+    """The checks of one table, under the names of `checks`, for one pass over it."""
+    rows, known, unique, coverage = {}, {}, None, None
+    if name in NOT_NULL:
+        rows[f"not_null {name}"] = audit.any_of([F.col(c).isNull() for c in NOT_NULL[name]])
+    for table, col, values in ACCEPTED:
+        if table == name:
+            rows[f"accepted {name}.{col}"] = ~F.col(col).isin(values)
+    if name in RANGES:
+        ranges = [Q.outside(F.col(c).cast("double"), *limits) for c, *limits in RANGES[name].values()]
+        rows[IN_RANGE[name]] = audit.any_of(ranges)
+        rows[FUTURE[name]] = F.col(S.DATE_COLUMN[name]) > F.lit(as_of).cast("date")
+    if name in S.KEYS:
+        unique = (f"key {name}", S.KEYS[name])
+        if "ticker" in S.KEYS[name]:
+            known[f"orphans {name}"] = ("ticker", t["dim_security"].select("ticker"))
+    elif name in UNIQUE:
+        unique = (f"unique {name}", [UNIQUE[name]])
+    if name in DAYS and "dim_date" in t:
+        known[f"days {name}"] = (DAYS[name], t["dim_date"].select("date_key"))
+    if name == "fact_daily_prices":
+        coverage = ("coverage", audit.Coverage("ticker", "price_date", COVERED_DAYS, C.COVERAGE_EXCLUSIONS))
+    fresh = {f"fresh {n}": audit.Fresh(col, days, as_of) for n, col, days in FRESH_DAYS if n == name}
+    return audit.Rules(rows, known, unique, name in UNIQUE, fresh, coverage)
+
+
+def broken_checks(spark: SparkSession, base: str, as_of: dt.date | str) -> dict[str, DataFrame]:
+    """Those of `checks` that are broken, each the frame of its violations. Which they are
+    comes from one pass over each table (`operators.audit`), all in one job; a frame is
+    only computed if the caller reads it. Anchors are compared by their own join."""
+    t = staging_views(spark, base) | stored_marts(spark, base)
+    frames = checks(spark, base, as_of)
+    counted = audit.broken_in_all([(df, table_rules(t, name, as_of)) for name, df in t.items()])
+    # a row for each check
+    names = {r["rule"] for r in counted.where("broken > 0").collect()}
+    names |= {n for n, df in frames.items() if n.startswith("anchors ") and not df.isEmpty()}
+    return {name: df for name, df in frames.items() if name in names}

@@ -693,6 +693,31 @@ _BODIES = {
       CROSS JOIN (SELECT max(price_date) AS reference_max_date FROM fact)
       WHERE ticker NOT IN ('FDS', 'C0')
         AND date_diff('day', key_max_date, reference_max_date) > 5""",
+    "audit_tables": """
+      SELECT unnest(['values', 'close > 0', 'return in bounds', 'future', 'orphans', 'key', 'fresh',
+                     'coverage', 'raw values', 'raw close', 'raw key', 'macro values', 'macro range',
+                     'macro fresh']) AS rule,
+             unnest([
+        (SELECT count(*) FROM fact WHERE close_price IS NULL OR daily_return IS NULL),
+        (SELECT count(*) FROM fact WHERE close_price <= 0),
+        (SELECT count(*) FROM fact WHERE daily_return > 0.05::DOUBLE OR daily_return < -0.05::DOUBLE),
+        (SELECT count(*) FROM fact WHERE price_date > DATE '2001-06-30'),
+        (SELECT count(*) FROM fact WHERE NOT EXISTS
+           (SELECT 1 FROM valuations WHERE valuations.ticker = fact.ticker)),
+        (SELECT count(*) FROM (SELECT 1 FROM fact GROUP BY ticker, price_date HAVING count(*) > 1)),
+        (SELECT coalesce((date_diff('day', max(price_date), DATE '2001-09-01') > 3)::INTEGER, 0) FROM fact),
+        (SELECT coalesce(max((date_diff('day', day, newest) > 5)::INTEGER), 0)
+         FROM (SELECT ticker, max(price_date) AS day FROM fact GROUP BY 1)
+         CROSS JOIN (SELECT max(price_date) AS newest FROM fact) WHERE ticker NOT IN ('FDS', 'C0')),
+        (SELECT count(*) FROM (SELECT 1 FROM raw_prices GROUP BY ticker, date
+                               HAVING bool_or(close IS NULL OR volume IS NULL))),
+        (SELECT count(*) FROM (SELECT 1 FROM raw_prices GROUP BY ticker, date
+                               HAVING bool_or(close < 1000 OR close > 100000))),
+        (SELECT count(*) FROM (SELECT 1 FROM raw_prices GROUP BY ticker, date HAVING count(*) > 1)),
+        (SELECT count(*) FROM macro WHERE value IS NULL),
+        (SELECT count(*) FROM macro WHERE value < 0),
+        (SELECT coalesce((date_diff('day', max(observation_date), DATE '2001-07-28') > 5)::INTEGER, 0)
+         FROM macro)]) AS broken""",
     "baseline_tolerance": """
       SELECT ticker, price_date, round(close_price, 6) AS close_price,
              round(expected, 6) AS expected_close_price,

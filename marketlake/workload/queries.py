@@ -12,6 +12,7 @@ from marketlake import constants as C
 from marketlake.functions import scalar as S
 from marketlake.functions.predicates import select_events, valid_symbol
 from marketlake.operators import aggregates as A
+from marketlake.operators import audit
 from marketlake.operators import joins as J
 from marketlake.operators import merge as M
 from marketlake.operators import quality as Q
@@ -757,6 +758,44 @@ def coverage_by_key(spark, sf):
     return Q.coverage_lag(MK.fact_prices(spark, sf), "ticker", "price_date", 5, excluded)
 
 
+def _price_rules(spark, sf):
+    f = F.col
+    return audit.Rules(
+        rows={
+            "values": f("close_price").isNull() | f("daily_return").isNull(),
+            "close > 0": Q.outside(f("close_price"), 0, None, True),
+            "return in bounds": Q.outside(f("daily_return"), -0.05, 0.05),
+            "future": f("price_date") > F.lit("2001-06-30").cast("date"),
+        },
+        known={"orphans": ("ticker", MK.valuations(spark, sf).select("ticker"))},
+        unique=("key", ["ticker", "price_date"]),
+        fresh={"fresh": audit.Fresh("price_date", 3, AS_OF)},
+        coverage=("coverage", audit.Coverage("ticker", "price_date", 5, [*C.COVERAGE_EXCLUSIONS, "C0"])),
+    )
+
+
+@query
+def audit_tables(spark, sf):
+    """All rules of the price fact, of raw prices and of macro readings, each table read once."""
+    f = F.col
+    raw = audit.Rules(
+        rows={
+            "raw values": f("close").isNull() | f("volume").isNull(),
+            "raw close": Q.outside(f("close"), 1000, 100000),
+        },
+        unique=("raw key", ["ticker", "date"]),
+    )
+    macro = audit.Rules(
+        rows={"macro values": f("value").isNull(), "macro range": Q.outside(f("value"), 0, None)},
+        fresh={"macro fresh": audit.Fresh("observation_date", 5, "2001-07-28")},
+    )
+    return audit.broken_in_all([
+        (MK.fact_prices(spark, sf), _price_rules(spark, sf)),
+        (MK.raw_prices(spark, sf), raw),
+        (MK.macro(spark, sf), macro),
+    ])
+
+
 @query
 def baseline_tolerance(spark, sf):
     """Every close against a baseline that is off for some rows and unset for some."""
