@@ -62,6 +62,15 @@ def stored_marts(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     }
 
 
+def fact_days(
+    spark: SparkSession, base: str, name: str, first: dt.date | str | None = None, last: dt.date | str | None = None
+) -> DataFrame | None:
+    """The rows of a fact from one day to another, opening only the months between; None
+    if the fact has not been built. `register_views` shows whole facts."""
+    rows = tables.read_days(spark, f"{base}/marts/{name}", S.DATE_COLUMN[name], first, last)
+    return None if rows is None else rows.drop(tables.MONTH)
+
+
 def register_views(spark: SparkSession, base: str) -> list[str]:
     """Make staging and marts queryable by name in `spark.sql`."""
     frames = staging_views(spark, base) | stored_marts(spark, base)

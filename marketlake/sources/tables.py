@@ -61,6 +61,35 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     return None if version is None else normalize_names(spark.read.parquet(version))
 
 
+def read_days(
+    spark: SparkSession, path: str, date: str, first: dt.date | str | None, last: dt.date | str | None
+) -> DataFrame | None:
+    """The rows of a fact whose `date` lies from `first` to `last` (None: no bound). Of a
+    published table only the months between are opened: the bounds on days become bounds
+    on month keys, which a plain filter on `date` does not give. None if there is no table."""
+    low, high = (None if day is None else dt.date.fromisoformat(str(day)) for day in (first, last))
+    kept = F.lit(True)
+    if low is not None:
+        kept = kept & (F.col(date) >= F.lit(low))
+    if high is not None:
+        kept = kept & (F.col(date) <= F.lit(high))
+    found = published.listing(spark, path)
+    if found is None:
+        rows = read_table(spark, path)
+        return None if rows is None else rows.where(kept)
+    month = lambda day: day.year * 100 + day.month
+    months = [
+        m for m in found.parts
+        if not m.isdigit()  # rows without a day, or a table without months
+        or ((low is None or int(m) >= month(low)) and (high is None or int(m) <= month(high)))
+    ]
+    rows = published.read(spark, path, found, months)
+    if rows is None:
+        whole = published.read(spark, path, found)
+        return None if whole is None else normalize_names(whole.limit(0))
+    return normalize_names(rows).where(kept)
+
+
 def counted_write(df: DataFrame, writer_of, path: str) -> int:
     """Write and return the row count, observed during the write itself."""
     rows = Observation()

@@ -249,6 +249,28 @@ def test_one_day_refresh_reads_new_files_tails_and_the_last_month(spark, tmp_pat
     equals_full_refresh(spark, base)
 
 
+def test_days_of_a_fact_open_only_their_months(spark, tmp_path):
+    base = str(tmp_path)
+    assert WH.fact_days(spark, base, FACT, "2022-01-01") is None
+    companies(spark, base, ["A", "BB"])
+    land(spark, base, "prices", price_rows(["A", "BB"], range(120), 1))
+    WH.build(spark, base)
+    whole = fact(spark, base)
+    for first, last, months in [
+        ("2022-02-10", D(2022, 3, 5), {"202202", "202203"}),
+        (None, "2022-01-20", {"202201"}),
+        ("2022-04-29", None, {"202204", "202205"}),
+    ]:
+        found = WH.fact_days(spark, base, FACT, first, last)
+        assert {f.split("/")[-2].split("=")[1] for f in found.inputFiles()} == months
+        same = whole.where(F.col("price_date").between(str(first or "0001-01-01"), str(last or "9999-12-31")))
+        assert as_set(found, 9) == as_set(same, 9) and not found.isEmpty()
+        assert "PushedFilters: [IsNotNull(price_date)" in found._jdf.queryExecution().executedPlan().toString()
+    assert as_set(WH.fact_days(spark, base, FACT), 9) == as_set(whole, 9)
+    outside = WH.fact_days(spark, base, FACT, "2030-01-01")
+    assert outside.isEmpty() and outside.columns == whole.columns
+
+
 def test_tails_carry_new_short_and_sparse_tickers(spark, tmp_path):
     base = str(tmp_path)
     companies(spark, base, ["A", "BB", "CCC", "D"])
