@@ -50,3 +50,22 @@ def add_columns(
 
     wanted = keep if source in keep else [*keep, source]
     return df.select(*(f"`{n}`" for n in wanted)).mapInArrow(run, T.StructType([*kept, *fields]))
+
+
+def runs(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
+    """The rows of each run of equal values in the columns `names` (whole numbers), also
+    where a run goes on in the next batch."""
+    held, now = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ids = np.stack([batch.column(n).to_numpy() for n in names], axis=1)
+        starts = [0, *(np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1).tolist()]
+        for start, end in zip(starts, [*starts[1:], batch.num_rows]):
+            if held and tuple(ids[start]) != now:
+                yield pa.Table.from_batches(held)
+                held = []
+            now = tuple(ids[start])
+            held.append(batch.slice(start, end - start))
+    if held:
+        yield pa.Table.from_batches(held)

@@ -14,8 +14,9 @@ def components(edges: DataFrame) -> DataFrame:
     Each round takes the least label among the neighbours, then the label of the label,
     so rounds grow with the logarithm of the longest path. Labels are written after
     every round; an empty frame gives an empty one."""
-    both = edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct()
-    both = stored(both.toDF("a", "b"), "edges")
+    ends = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = edges.where("a <> b").select(F.explode(ends).alias("e")).select("e.a", "e.b").distinct()
+    both = stored(both, "edges")
     labels = stored(
         both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("m"))
         .select("v", F.least("v", "m").alias("component")), "labels")

@@ -9,14 +9,14 @@ from above, and so do those of the upper corners of two boxes around points.
    `ROWS` least hash values. Two sets of similarity 0.8 share none of them with a
    probability of (1 - 0.8^3)^24 = 3e-8. Boxes alone can't do this part: unrelated sets
    of like size have nearly the same counts in few groups, so that no box is pruned.
-3. A set is first held against the smallest id of its branches: copies of one text by
-   the thousand are joined in as many steps. Branches then left with sets of two or
-   more components are cut into leaves of bounded size, ordered by size of the set;
-   pairs of leaves are searched box by box, and pairs of sets within one component are
-   passed over. As long as that links anything, a set offers only its `NEAREST` pairs of
-   greatest bound, so that groups of loose copies grow together by few pairs; a last
-   search offers every pair between components that the bound leaves.
-4. Pairs that the bound leaves are verified on the whole sets.
+3. A set is first held against the smallest id of its branches, whose label it takes if
+   they link: copies of one text by the thousand are joined in one step. Branches left
+   with two or more labels are cut into leaves of bounded size, ordered by size of the
+   set and apart for a label that fills leaves of its own. Leaves, and pairs of leaves,
+   are searched once, box by box; pairs of one label are passed over.
+4. Pairs that the bound leaves are verified on the whole sets, in the smallest branch
+   that both share and in order of their bound, unless links found there connect them
+   already. So a leaf gives a spanning forest, not all pairs of a group of loose copies.
 
 Texts that are null or have no words have empty sets and link with nothing; rows with a
 null id are left out of links and keep a null component. Rows with one id are one
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from marketlake.llm.arrow import add_columns, lists_of, slices
+from marketlake.llm.arrow import add_columns, lists_of, runs, slices
 from marketlake.llm.links import components
 from marketlake.llm.storage import stored
 
@@ -45,7 +45,9 @@ LINK_A, LINK_B = 100, 80
 GROUPS = 128
 BANDS, ROWS = 24, 3
 LEAF, BOX, SALT = 256, 16, 65_536
-NEAREST = 3
+#: a leaf closes at LEAF * LEAST_SIZE hashes; a smaller set counts as so many
+LEAST_SIZE = 2_000
+PAIR = ["key", "first", "second"]
 
 _RANDOM = np.random.default_rng(20)
 _ODD = _RANDOM.integers(0, 1 << 63, size=BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -89,24 +91,25 @@ def branches(found: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def digest_of(found: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, digest, counts, branches)."""
+    """(doc_id, n_shingles, digest, branches)."""
 
     def columns(texts: pa.Array) -> list[pa.Array]:
-        sizes, digests, counts, keys = [], [], [], []
+        sizes, digests, keys = [], [], []
         for text in texts.to_pylist():
             found = shingles(text)
             sizes.append(len(found))
-            digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
-            counts.append(np.bincount((found >> np.uint64(57)).astype(np.int64), minlength=GROUPS).astype(np.int32))
+            digests.append(digest_of(found))
             keys.append(branches(found))
-        return [pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                lists_of(counts, pa.int32()), lists_of(keys, pa.int64())]
+        return [pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), lists_of(keys, pa.int64())]
 
     fields = [
         T.StructField("n_shingles", T.LongType()),
         T.StructField("digest", T.BinaryType()),
-        T.StructField("counts", T.ArrayType(T.IntegerType())),
         T.StructField("branches", T.ArrayType(T.LongType())),
     ]
     return add_columns(docs.select("doc_id", "text"), "text", fields, columns).drop("text")
@@ -117,18 +120,31 @@ def enough(bound, size_a, size_b):
     return (LINK_A + LINK_B) * bound >= LINK_B * (size_a + size_b)
 
 
+def counts(found: np.ndarray) -> np.ndarray:
+    """The point of a set: how many of its hashes lie in each group."""
+    return np.bincount((found >> np.uint64(57)).astype(np.int64), minlength=GROUPS).astype(np.int32)
+
+
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(v, hashes) of the documents whose id is in `wanted` (v)."""
-    chosen = docs.select(F.col("doc_id").alias("v"), "text").join(wanted, "v", "left_semi")
+    """(v, digest, keys, hashes) of the sets in `wanted` (v, digest, keys), each once. An
+    id with several texts has a set for each."""
+    chosen = docs.select(F.col("doc_id").alias("v"), "text", F.md5("text").alias("copy")).join(wanted, "v")
+    chosen = chosen.dropDuplicates(["v", "digest", "copy"]).drop("copy")
 
     def columns(texts: pa.Array) -> list[pa.Array]:
-        return [pa.array([shingles(t).tobytes() for t in texts.to_pylist()], pa.binary())]
+        found = [shingles(t) for t in texts.to_pylist()]
+        return [pa.array([x.tobytes() for x in found], pa.binary()), pa.array(map(digest_of, found), pa.binary())]
+
+    fields = [T.StructField("hashes", T.BinaryType()), T.StructField("made", T.BinaryType())]
+    return add_columns(chosen, "text", fields, columns).where("made = digest").drop("text", "made")
 
-    return add_columns(chosen, "text", [T.StructField("hashes", T.BinaryType())], columns).drop("text")
 
+def _linked(p: np.ndarray, q: np.ndarray) -> bool:
+    return bool(enough(len(np.intersect1d(p, q, assume_unique=True)), len(p), len(q)))
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets link."""
+
+def _star(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets link; the bound goes before the sets."""
     left = sets.select(F.col("v").alias("a"), F.col("hashes").alias("ha"))
     right = sets.select(F.col("v").alias("b"), F.col("hashes").alias("hb"))
     rows = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "ha", "hb")
@@ -138,8 +154,8 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             good = []
             for x, y in zip(batch.column("ha"), batch.column("hb")):
                 p, q = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
-                shared = len(np.intersect1d(p, q, assume_unique=True))
-                good.append(bool(enough(shared, len(p), len(q))))
+                bound = np.minimum(counts(p), counts(q)).sum()
+                good.append(bool(enough(bound, len(p), len(q))) and _linked(p, q))
             kept = batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
             if kept.num_rows:
                 yield kept
@@ -147,18 +163,18 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
-def _boxes(n: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _boxes(n: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Upper corners and least sizes of runs of BOX points."""
     starts = np.arange(0, len(n), BOX)
-    return np.maximum.reduceat(counts, starts, axis=0), np.minimum.reduceat(n, starts)
+    return np.maximum.reduceat(points, starts, axis=0), np.minimum.reduceat(n, starts)
 
 
-def search(a: dict, b: dict, nearest: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the points in two leaves (v, n, label, counts) that the bound leaves;
-    with `nearest`, for each point of `a` those of greatest bound."""
+def search(a: dict, b: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the points in two leaves (n, label, counts) of unlike label that the
+    bound leaves, those of the greatest bound for their size first."""
     top_a, least_a = _boxes(a["n"], a["counts"])
     top_b, least_b = _boxes(b["n"], b["counts"])
-    left, right = [], []
+    left, right, shares = [], [], []
     for i in range(len(top_a)):
         fits = np.flatnonzero(enough(np.minimum(top_a[i], top_b).sum(axis=1), least_a[i], least_b))
         if not len(fits):
@@ -166,107 +182,134 @@ def search(a: dict, b: dict, nearest: int | None = None) -> tuple[np.ndarray, np
         p = np.arange(i * BOX, min((i + 1) * BOX, len(a["n"])))
         q = np.concatenate([np.arange(j * BOX, min((j + 1) * BOX, len(b["n"]))) for j in fits])
         bound = np.stack([np.minimum(x, b["counts"][q]).sum(axis=1) for x in a["counts"][p]])
+        sizes = a["n"][p][:, None] + b["n"][q][None, :]
         good = enough(bound, a["n"][p][:, None], b["n"][q][None, :])
-        good &= a["label"][p][:, None] != b["label"][q][None, :]
-        if nearest and len(q) > nearest:
-            share = np.where(good, bound / (a["n"][p][:, None] + b["n"][q][None, :]), -1)
-            best = np.argpartition(-share, nearest, axis=1)[:, :nearest]
-            chosen = np.zeros_like(good)
-            np.put_along_axis(chosen, best, True, axis=1)
-            good &= chosen
-        x, y = np.nonzero(good)
+        x, y = np.nonzero(good & (a["label"][p][:, None] != b["label"][q][None, :]))
         left.append(p[x])
         right.append(q[y])
-    empty = np.empty(0, dtype=np.int64)
-    return (np.concatenate(left), np.concatenate(right)) if left else (empty, empty)
-
-
-def _leaf_pairs(mixed: DataFrame) -> DataFrame:
-    """Pairs of leaves of one branch; rows (key, v, n, label, counts) become lists."""
-    sized = mixed.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
-    salt = F.pmod(F.xxhash64("v"), F.ceil(F.col("members") / SALT)).alias("salt")
-    by = W.partitionBy("key", "salt").orderBy("n", "v")
-    cut = mixed.join(sized, "key").select("*", salt)
-    cut = cut.withColumn("leaf", F.floor((F.row_number().over(by) - 1) / LEAF))
-    point = F.struct("n", "v", "label", "counts")
-    leaves = cut.groupBy("key", "salt", "leaf").agg(
-        F.sort_array(F.collect_list(point)).alias("points"),
+        shares.append(bound[x, y] / sizes[x, y])
+    if not left:
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+    order = np.argsort(-np.concatenate(shares), kind="stable")
+    return np.concatenate(left)[order], np.concatenate(right)[order]
+
+
+def _leaf(rows: pa.Table) -> dict:
+    """Rows (v, label, n, keys, hashes) of one leaf in order of size."""
+    sets = [np.frombuffer(x, dtype=np.uint64) for x in rows.column("hashes").to_pylist()]
+    order = np.argsort([len(s) for s in sets], kind="stable")
+    keys = rows.column("keys").to_pylist()
+    sets = [sets[i] for i in order]
+    return {
+        "v": rows.column("v").to_numpy()[order], "label": rows.column("label").to_numpy()[order],
+        "n": np.array([len(s) for s in sets], dtype=np.int64), "sets": sets,
+        "counts": np.array([counts(s) for s in sets]), "keys": [set(keys[i]) for i in order],
+    }
+
+
+def forest(a: dict, b: dict, key: int) -> list[tuple[int, int]]:
+    """Links between points of two leaves of branch `key` that connect their labels."""
+    above = {}
+
+    def root(x: int) -> int:
+        while x in above:
+            above[x] = x = above.get(above[x], above[x])
+        return x
+
+    found = []
+    for i, j in zip(*(side.tolist() for side in search(a, b))):
+        x, y = root(int(a["label"][i])), root(int(b["label"][j]))
+        if x == y or min(a["keys"][i] & b["keys"][j]) != key:
+            continue
+        if _linked(a["sets"][i], b["sets"][j]):
+            above[max(x, y)] = min(x, y)
+            found.append((int(a["v"][i]), int(b["v"][j])))
+    return found
+
+
+def _leaves(at: DataFrame) -> DataFrame:
+    """Rows (key, v, digest, n, label) of branches with several labels, each with its leaf."""
+    sized = at.groupBy("key").agg(
+        F.count(F.lit(1)).alias("members"), F.min("label").alias("x"), F.max("label").alias("y"))
+    cut = at.join(sized.where("x < y"), "key")
+    cut = cut.withColumn("salt", F.pmod(F.xxhash64("v"), F.ceil(F.col("members") / SALT)))
+    alike = F.count(F.lit(1)).over(W.partitionBy("key", "salt", "label"))
+    cut = cut.withColumn("own", F.when(alike >= LEAF, F.col("label")))
+    size = F.greatest("n", F.lit(LEAST_SIZE))
+    ahead = W.partitionBy("key", "salt").orderBy("own", "n", "v").rowsBetween(W.unboundedPreceding, -1)
+    leaf = F.floor(F.coalesce(F.sum(size).over(ahead), F.lit(0)) / (LEAF * LEAST_SIZE))
+    place = F.col("salt") * F.lit(1 << 40) + leaf
+    return cut.select("key", "v", "digest", "n", "label", place.cast("long").alias("place"))
+
+
+def _leaf_pairs(cut: DataFrame) -> DataFrame:
+    """(key, first, second) of the leaves to search; a leaf with itself is such a pair."""
+    leaves = cut.groupBy("key", "place").agg(
         F.min("n").alias("low"), F.max("n").alias("high"),
-        F.min("label").alias("first"), F.max("label").alias("last"),
-    ).withColumn("place", F.struct("salt", "leaf"))
-    a = leaves.select("key", *(F.col(c).alias(f"{c}_a") for c in ("points", "low", "high", "first", "last", "place")))
-    b = leaves.select("key", *(F.col(c).alias(f"{c}_b") for c in ("points", "low", "high", "first", "last", "place")))
+        F.min("label").alias("least"), F.max("label").alias("most"),
+    )
+    a, b = (leaves.toDF("key", *(f"{c}_{side}" for c in ("place", "low", "high", "least", "most"))) for side in "ab")
     near = (
         (F.col("place_a") <= F.col("place_b"))
         & (LINK_A * F.col("high_a") >= LINK_B * F.col("low_b"))
         & (LINK_A * F.col("high_b") >= LINK_B * F.col("low_a"))
-        & ((F.col("first_a") != F.col("last_b")) | (F.col("last_a") != F.col("first_b")))
+        & ((F.col("least_a") != F.col("most_b")) | (F.col("most_a") != F.col("least_b")))
     )
-    return a.join(b, "key").where(near).select("points_a", "points_b").distinct()
+    return a.join(b, "key").where(near).select("key", F.col("place_a").alias("first"), F.col("place_b").alias("second"))
 
 
-def _searched(pairs: DataFrame, nearest: int | None) -> DataFrame:
-    """Candidate pairs (a, b) of different components from pairs of leaves."""
-
-    def leaf(points) -> dict:
-        return {
-            "v": np.array([p["v"] for p in points], dtype=np.int64),
-            "n": np.array([p["n"] for p in points], dtype=np.int64),
-            "label": np.array([p["label"] for p in points], dtype=np.int64),
-            "counts": np.array([p["counts"] for p in points], dtype=np.int32),
-        }
+def _searched(cut: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between the labels of each pair of leaves. A task takes the rows of
+    one pair after another."""
+    sides = pairs.select(*PAIR, F.col("first").alias("place"), F.lit(0).alias("side")).union(
+        pairs.where("first < second").select(*PAIR, F.col("second").alias("place"), F.lit(1).alias("side")))
+    rows = sides.join(cut.drop("n"), ["key", "place"]).drop("place").join(sets, ["v", "digest"])
+    rows = rows.repartition(*PAIR).sortWithinPartitions(*PAIR, "side")
 
     def run(batches):
-        for batch in slices(batches, 16):
-            for x, y in zip(batch.column("points_a").to_pylist(), batch.column("points_b").to_pylist()):
-                a, b = leaf(x), leaf(y)
-                i, j = search(a, b, nearest)
-                if len(i):
-                    low, high = np.minimum(a["v"][i], b["v"][j]), np.maximum(a["v"][i], b["v"][j])
-                    yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
-
-    return pairs.mapInArrow(run, "a long, b long").where("a <> b").distinct()
+        found = []
+        for table in runs(batches, PAIR):
+            key = table.column("key")[0].as_py()
+            side = table.column("side").to_numpy()
+            a = _leaf(table.filter(pa.array(side == 0)))
+            b = _leaf(table.filter(pa.array(side == 1))) if side.any() else a
+            found += forest(a, b, key)
+            if len(found) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
+                found = []
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
+
+    return rows.mapInArrow(run, "a long, b long").where("a <> b")
 
 
 def join(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, class_id, component_id."""
     points = stored(signatures(docs), "points")
     full = points.where("n_shingles > 0 and doc_id is not null")
-    classes = stored(full.groupBy("digest").agg(F.min("doc_id").alias("v")), "classes")
-    own = full.select(F.col("doc_id").alias("v"), "digest", F.col("n_shingles").alias("n"), "counts", "branches")
-    apart = own.join(classes, ["v", "digest"]).dropDuplicates(["v", "digest"]).drop("digest")
-    apart = stored(apart, "apart")
+    # equal digests have equal sizes and branches
+    classes = full.groupBy("digest").agg(
+        F.min("doc_id").alias("v"), F.first("n_shingles").alias("n"), F.first("branches").alias("branches"))
+    classes = stored(classes, "classes")
 
-    keyed = apart.select("v", F.explode("branches").alias("key"))
+    keyed = classes.select("v", "digest", "n", F.explode("branches").alias("key"))
     centres = keyed.groupBy("key").agg(F.min("v").alias("centre"), F.max("v").alias("last"))
-    shared = stored(keyed.join(centres.where("centre < last"), "key").select("key", "v", "centre"), "shared")
-    sets = stored(_sets(docs, shared.select("v").distinct()), "sets")
+    shared = keyed.join(centres.where("centre < last"), "key").select("key", "v", "digest", "n", "centre")
+    shared = stored(shared, "shared")
+    wanted = shared.groupBy("v", "digest").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    sets = stored(_sets(docs, wanted), "sets")
 
     first = shared.where("v <> centre").groupBy(F.col("v").alias("b")).agg(F.min("centre").alias("a"))
-    point = apart.select("v", "n", "counts")
-    sides = first.join(point.toDF("a", "na", "ca"), "a").join(point.toDF("b", "nb", "cb"), "b")
-    bound = F.aggregate(F.zip_with("ca", "cb", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
-    star = stored(_verified(sides.where(enough(bound, F.col("na"), F.col("nb"))), sets), "links")
-
-    links, nearest = star.union(_shared_ids(full, classes)), NEAREST
-    found = components(links)
-    while True:
-        at = shared.select("key", "v").join(found.withColumnRenamed("component", "found"), "v", "left")
-        at = at.select("key", "v", F.coalesce("found", "v").alias("label"))
-        several = at.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
-        mixed = at.join(several.where("x < y").select("key"), "key").join(point, "v")
-        pairs = _searched(_leaf_pairs(mixed.select("key", "v", "n", "label", "counts")), nearest)
-        more = stored(_verified(pairs, sets), "links")
-        some = not more.isEmpty()
-        if some:
-            links = links.union(more)
-            found = components(links)
-        if nearest is None:
-            break
-        if not some:
-            nearest = None
-
-    ids = points.join(classes, "digest", "left").join(found, "v", "left")
+    star = stored(_star(first, sets), "star")
+    # a label is any document that links lead to; two steps take most to the smallest
+    up = star.select(F.col("b").alias("a"), F.col("a").alias("top"))
+    labels = star.join(up, "a", "left").select(F.col("b").alias("v"), F.coalesce("top", "a").alias("label"))
+    at = shared.drop("centre").join(labels, "v", "left")
+    cut = stored(_leaves(at.withColumn("label", F.coalesce("label", "v"))), "leaves")
+    links = _searched(cut, _leaf_pairs(cut), sets)
+    found = components(star.union(links).union(_shared_ids(full, classes)))
+
+    ids = points.join(classes.select("digest", "v"), "digest", "left").join(found, "v", "left")
     return ids.select(
         "doc_id", "n_shingles", F.coalesce("v", "doc_id").alias("class_id"),
         F.coalesce("component", "v", "doc_id").alias("component_id"),
@@ -275,7 +318,9 @@ def join(docs: DataFrame) -> DataFrame:
 
 def _shared_ids(full: DataFrame, classes: DataFrame) -> DataFrame:
     """Links between the classes of rows that have one id."""
-    by_id = full.select("doc_id", "digest").join(classes, "digest").groupBy("doc_id")
+    several = full.groupBy("doc_id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x < y")
+    rows = full.select("doc_id", "digest").join(several.select("doc_id"), "doc_id", "left_semi")
+    by_id = rows.join(classes.select("digest", "v"), "digest").groupBy("doc_id")
     ends = by_id.agg(F.min("v").alias("a"), F.array_distinct(F.collect_set("v")).alias("all"))
     return ends.where(F.size("all") > 1).select("a", F.explode("all").alias("b")).where("a <> b")
 

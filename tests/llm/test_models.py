@@ -179,6 +179,27 @@ def test_join_of_loose_copies(spark):
     check_join(spark, docs)
 
 
+def test_join_over_several_leaves(spark, monkeypatch):
+    """Leaves of few sets: links within a leaf, between leaves, and of an id with two
+    texts, one of them repeated many times."""
+    monkeypatch.setattr(ngram_join, "LEAF", 3)
+    monkeypatch.setattr(ngram_join, "LEAST_SIZE", 50)
+    random = np.random.default_rng(4)
+    docs = []
+    for group, n in ((31, 40), (32, 12)):
+        base = frames.prose(group, 130).split()
+        for i in range(n):
+            words = list(base)
+            for at in random.integers(0, len(words), size=int(random.integers(0, 8))):
+                words[at] = f"w{random.integers(1000)}"
+            docs.append((group * 100 + i, " ".join(words)))
+    check_join(spark, docs)
+    both = [*docs, *[(3100, docs[-1][1])] * 30]
+    rows = ngram_join.join(spark.createDataFrame(both, "doc_id long, text string")).collect()
+    want = {r["doc_id"]: r["component_id"] for r in rows}
+    assert len(rows) == len(both) and want[docs[-1][0]] == want[3100]
+
+
 def test_join_edges(spark):
     docs = frames.docs(spark)
     assert ngram_join.join(docs).count() == len(frames.rows()) and ngram_join.join(docs.limit(0)).count() == 0
